@@ -23,8 +23,18 @@ from claimlake.codes import (
 _BLANKS = " \t\r\n"
 
 
+def _sql_text(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value}D" if isinstance(value, float) else str(value)
+
+
+def _sql_map(pairs: dict) -> str:
+    return "map(" + ", ".join(_sql_text(x) for x in chain.from_iterable(pairs.items())) + ")"
+
+
 def _literal_map(pairs: dict) -> Column:
-    return F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
+    return F.expr(_sql_map(pairs))
 
 
 def _code_to_hcc() -> Column:
@@ -121,16 +131,6 @@ def demographic_frame(spark: SparkSession):
     return spark.createDataFrame(rows, "sex string, bracket int, demographic_raf double")
 
 
-def _sql_text(value) -> str:
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return f"{value}D" if isinstance(value, float) else str(value)
-
-
-def _sql_map(pairs: dict) -> str:
-    return "map(" + ", ".join(_sql_text(x) for x in chain.from_iterable(pairs.items())) + ")"
-
-
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the mapping callable from SQL.
 

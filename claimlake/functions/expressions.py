@@ -22,8 +22,12 @@ def settled_sum(column: str | Column, digits: int) -> Column:
 
 
 def iso_date(column: str) -> Column:
-    """ISO text to date; NULL for anything else."""
-    return F.try_to_date(F.col(column), "yyyy-MM-dd")
+    """Text of the form yyyy-MM-dd to date; NULL for anything else.
+
+    The cast is much cheaper than a format-driven parse but takes looser
+    text too, so only text of the exact shape reaches it.
+    """
+    return F.regexp_extract(F.col(column), r"^\d{4}-\d{2}-\d{2}$", 0).try_cast("date")
 
 
 def per(amount: Column, count: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlake.codes import CONDITIONS, FEATURES
 from claimlake.functions import expressions as X
+from claimlake.operators.lineage import materialized
 from claimlake.operators.rollups import passing
 from claimlake.params import Params
 
@@ -75,25 +76,31 @@ def features_by_tier(store: DataFrame) -> DataFrame:
     )
 
 
-def period_snapshot(profile: DataFrame, mapped: DataFrame, label: str, params: Params) -> DataFrame:
-    """The drift features of every member, from the claims of one period."""
+def period_snapshots(profile: DataFrame, mapped: DataFrame, params: Params) -> dict[str, DataFrame]:
+    """The drift features of every member, once per period, keyed by period.
+
+    Claims are rolled up by member and period in one pass, which both
+    snapshots then read.
+    """
     month = X.month_index(F.col("service_year"), F.col("service_month"))
-    rollup = (
-        mapped.filter(F.col("period") == label)
-        .groupBy("bene_id")
-        .agg(
+    cost = X.settled_sum("claim_amount", X.MEMBER_DIGITS)
+    rollup = materialized(
+        mapped.groupBy("bene_id", "period").agg(
             F.max("hcc_burden_count").alias("max_hcc_burden"),
             F.max("hcc_raf_total").alias("max_hcc_raf"),
             F.max("hcc_interaction_total").alias("max_interaction_raf"),
             X.visits("is_inpatient").alias("pre_ip_admits"),
             X.visits("is_ed_visit").alias("pre_ed_visits"),
-            X.per(
-                X.settled_sum("claim_amount", X.MEMBER_DIGITS), F.size(F.collect_set(month))
-            ).alias("pre_pmpm"),
+            X.per(cost, F.size(F.collect_set(month))).alias("pre_pmpm"),
         )
     )
-    joined = profile.select("bene_id", "demographic_raf").join(rollup, "bene_id", "left").na.fill(0)
     score = F.col("demographic_raf") + F.col("max_hcc_raf") + F.col("max_interaction_raf")
-    return joined.withColumn("raf_score", score).withColumn(
-        "estimated_annual_cost", F.col("raf_score") * params.benchmark_pmpm * 12
-    )
+
+    def snapshot(label: str) -> DataFrame:
+        mine = rollup.filter(F.col("period") == label).drop("period")
+        everyone = profile.select("bene_id", "demographic_raf").join(mine, "bene_id", "left").na.fill(0)
+        return everyone.withColumn("raf_score", score).withColumn(
+            "estimated_annual_cost", F.col("raf_score") * params.benchmark_pmpm * 12
+        )
+
+    return {label: snapshot(label) for label in (X.PRE, X.POST)}

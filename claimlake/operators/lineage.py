@@ -1,0 +1,25 @@
+"""Materialising a frame that several passes read."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and kept as a reliable checkpoint.
+
+    The files go to the folder the cluster names in ``spark.checkpoint.dir``,
+    so the rows survive the loss of executors. Only a local session may go
+    without that setting; it gets a temporary folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a shared folder")
+            folder = tempfile.mkdtemp(prefix="claimlake-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()

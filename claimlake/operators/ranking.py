@@ -74,35 +74,38 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, as array ``quantiles``.
 
+    ``counts`` holds one row per group and value and is read more than once.
     Only buckets that hold a wanted rank are ordered inside.
     """
-
-    def spot(p: float, n: Column) -> Column:
-        return (n - 1) * F.lit(float(p))
-
-    def holds(rank: Column, start: Column, length: Column) -> Column:
-        return (start <= rank) & (rank < start + length)
-
-    any_rank = F.lit(False)
-    for p in probabilities:
-        at = spot(p, F.col("_all"))
-        for rank in (F.floor(at), F.ceil(at)):
-            any_rank = any_rank | holds(rank, F.col("_before"), F.col("_total"))
-    ranked = running_before(
-        counts.filter(F.col(weight) > 0), group, value, weight, "_start", keep=any_rank
+    steps = F.array(*[F.lit(float(p)) for p in probabilities])
+
+    def wanted(n: Column) -> Column:
+        """Positions 0.. n-1 of each probability, whole part and the next."""
+        spots = F.transform(steps, lambda p, i: F.struct(i.alias("step"), ((n - 1) * p).alias("spot")))
+        return F.flatten(
+            F.transform(
+                spots,
+                lambda s: F.array(
+                    F.struct(s["step"].alias("step"), s["spot"].alias("spot"), F.floor(s["spot"]).alias("rank")),
+                    F.struct(s["step"].alias("step"), s["spot"].alias("spot"), F.ceil(s["spot"]).alias("rank")),
+                ),
+            )
+        )
+
+    def inside(start: str, length: str):
+        return lambda t: (F.col(start) <= t["rank"]) & (t["rank"] < F.col(start) + F.col(length))
+
+    present = counts.filter(F.col(weight) > 0).select(*group, value, weight)
+    useful = F.exists(wanted(F.col("_all")), inside("_before", "_total"))
+    ranked = running_before(present, group, value, weight, "_start", keep=useful)
+    hits = ranked.select(
+        *group,
+        F.col(value).alias("_value"),
+        F.inline(F.filter(wanted(F.col("_start_all")), inside("_start", weight))),
     )
-
-    n, start, length = F.col("_start_all"), F.col("_start"), F.col(weight)
-    aggregates = []
-    for i, p in enumerate(probabilities):
-        at = spot(p, n)
-        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            found = F.when(holds(rank, start, length), F.col(value))
-            aggregates.append(F.max(found).alias(f"_{side}{i}"))
-    picked = ranked.groupBy(*group).agg(F.max(n).alias("_n"), *aggregates)
-    quantiles = []
-    for i, p in enumerate(probabilities):
-        at = spot(p, F.col("_n"))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        quantiles.append(lo + (hi - lo) * (at - F.floor(at)))
-    return picked.select(*group, F.array(*quantiles).alias("quantiles"))
+    lo, hi = F.min("_value"), F.max("_value")
+    fraction = F.first("spot") - F.floor(F.first("spot"))
+    per_step = hits.groupBy(*group, "step").agg((lo + (hi - lo) * fraction).alias("_quantile"))
+    return per_step.groupBy(*group).agg(
+        F.sort_array(F.collect_list(F.struct("step", "_quantile"))).alias("_steps")
+    ).select(*group, F.col("_steps._quantile").alias("quantiles"))

@@ -23,6 +23,7 @@ from claimlake.operators import (
     scoring,
     validation,
 )
+from claimlake.operators.lineage import materialized
 from claimlake.params import Params
 from claimlake.plans import gold, pipeline, silver, views
 from claimlake.sources import fixtures, schemas
@@ -72,8 +73,8 @@ class Lake:
         return features.feature_store(self.scores(), self.pre_utilization())
 
     def snapshots(self) -> tuple[DataFrame, DataFrame]:
-        profile, mapped = self.profile(), self.mapped()
-        return tuple(features.period_snapshot(profile, mapped, label, self.params) for label in (X.PRE, X.POST))
+        frames = features.period_snapshots(self.profile(), self.mapped(), self.params)
+        return frames[X.PRE], frames[X.POST]
 
     def batches(self) -> DataFrame:
         return fixtures.first_batch(self.spark, self.sf_dir).unionByName(
@@ -528,7 +529,7 @@ def ml_matrix(lake: Lake) -> DataFrame:
 
 @query
 def ml_split(lake: Lake) -> DataFrame:
-    labels = lake.scores().select("bene_id", "risk_tier")
+    labels = materialized(lake.scores().select("bene_id", "risk_tier"))
     return modeling.stratified_split(labels, lake.params)
 
 
@@ -600,7 +601,7 @@ def ml_ece(lake: Lake) -> DataFrame:
 
 
 def _split_store(lake: Lake) -> tuple[DataFrame, DataFrame]:
-    split = modeling.stratified_split(lake.store(), lake.params)
+    split = modeling.stratified_split(materialized(lake.store()), lake.params)
     return split.filter("is_train"), split.filter(~F.col("is_train"))
 
 

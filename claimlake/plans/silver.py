@@ -15,6 +15,9 @@ from claimlake.params import Params
 # Columns that deduplication and the quality rules read.
 CHECKED = ("claim_id", "bene_id", "service_date", "icd10_primary", "claim_amount", "paid_amount")
 
+# Columns with one value per deduplication key, so no use as tie-breakers.
+FOLLOW_FROM_KEYS = ("claim_year", "claim_month", BRONZE_NULL)
+
 
 def clean_claims(raw: DataFrame, params: Params, needed: Sequence[str] | None = None) -> DataFrame:
     """Typed, deduplicated, flagged claims with derived features.
@@ -28,7 +31,9 @@ def clean_claims(raw: DataFrame, params: Params, needed: Sequence[str] | None =
     if BRONZE_NULL not in raw.columns:
         raw = tag_null_keys(raw, ("claim_id", "bene_id"))
     typed = C.cast_claims(raw)
-    best = C.dedup_keep_best(typed, params.dedup_keys)
+    settled = {*params.dedup_keys, "paid_amount", *FOLLOW_FROM_KEYS}
+    rest = sorted((c for c in raw.columns if c not in settled), key=lambda c: c != "claim_amount")
+    best = C.dedup_keep_best(typed, params.dedup_keys, "paid_amount", rest)
     flagged = flag_quality_issues(best, C.quality_rules(params))
     return C.derive_features(flagged, params)
 

@@ -26,7 +26,8 @@ LAST_YEAR_OF_FIRST_BATCH = 1997
 
 
 def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int"))
+    listed = F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")")
+    return F.get(listed, (index % len(values)).cast("int"))
 
 
 def _null_every(n: int, key: Column, value: Column) -> Column:
@@ -36,7 +37,7 @@ def _null_every(n: int, key: Column, value: Column) -> Column:
 def bene_id(custkey: str) -> Column:
     """Customer key as a member id of at least eight digits."""
     digits = F.col(custkey).cast("string")
-    return F.concat(F.lit("BNE"), F.when(F.length(digits) > 8, digits).otherwise(F.lpad(digits, 8, "0")))
+    return F.concat(F.lit("BNE"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
 
 
 def _arm(custkey: str) -> Column:
@@ -44,11 +45,16 @@ def _arm(custkey: str) -> Column:
 
 
 def claims(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFrame:
-    """Raw claim lines; ``with_key`` keeps the line key ``_k`` the rules use."""
+    """Raw claim lines; ``with_key`` keeps the line key ``_k`` the rules use.
+
+    Lines and orders both grow with the data, so the join is a merge join at
+    every size: the shuffle on the order key also spreads a single large file
+    over all tasks, and the planner can split a skewed key.
+    """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).filter(
-        F.col("o_custkey") % 29 != 0
+    joined = lines.join(
+        orders.filter(F.col("o_custkey") % 29 != 0).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     mix = (F.col("l_partkey") * 31 + F.col("l_suppkey")) % 100
