@@ -11,9 +11,14 @@ from claimlake.operators.claims import dedup_keep_best
 
 
 def only_new_batches(incoming: DataFrame, table: DataFrame, batch: str = "_batch_id") -> DataFrame:
-    """The incoming rows whose batch the table does not hold yet."""
-    known = table.select(batch).distinct()
-    return incoming.join(known, batch, "left_anti").select(*incoming.columns)
+    """The incoming rows whose batch the table does not hold yet.
+
+    Rows of one batch share one key, so they are not shuffled on it: the ids
+    already held, cut down to those of the incoming batches, are broadcast.
+    """
+    arriving = incoming.select(batch).distinct()
+    known = table.select(batch).distinct().join(arriving, batch, "left_semi")
+    return incoming.join(F.broadcast(known), batch, "left_anti").select(*incoming.columns)
 
 
 def read_as_of(

@@ -126,9 +126,14 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _batch(number: str) -> Column:
+    """A batch id read from the row, as from a table, not a constant to fold."""
+    return F.when(F.col("claim_year").isNotNull(), number)
+
+
 def first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = claims(spark, sf_dir).filter(F.col("claim_year") <= LAST_YEAR_OF_FIRST_BATCH)
-    return rows.withColumn("_batch_id", F.lit("1"))
+    return rows.withColumn("_batch_id", _batch("1"))
 
 
 def second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,5 +144,5 @@ def second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.filter(~early | (F.col("_k") % 10 == 0))
         .withColumn("claim_amount", F.when(early, F.col("claim_amount") * 1.1).otherwise(F.col("claim_amount")))
         .drop("_k")
-        .withColumn("_batch_id", F.lit("2"))
+        .withColumn("_batch_id", _batch("2"))
     )

@@ -117,8 +117,13 @@ def write_snapshot(df: DataFrame, name: str, version: int) -> int:
 
 def replace_partitions(df: DataFrame, name: str) -> None:
     """Overwrite only the partitions of a table that occur in ``df``."""
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def batch_already_ingested(spark: SparkSession, name: str, batch_id: str) -> bool:
