@@ -1,8 +1,12 @@
 """Exact ranks and quantiles without sorting a whole group in one task.
 
-Values are first counted per distinct value, then put into order-preserving
-buckets. A table of bucket totals is small whatever the data, so running
-totals over it are cheap; ordering inside a bucket spreads over many tasks.
+Values are first counted per distinct value. Each value then has a coarse and
+a fine bucket number, taken from the exponent and leading bits of the double,
+both in value order. Running totals go over coarse buckets, then over the fine
+buckets of a coarse one, then over the values of a fine one. However the
+values are distributed, each of these runs is over at most a few million rows
+(2**12 coarse buckets per power of two, 2**20 fine buckets per coarse one,
+2**20 doubles per fine one), so no key can make a task grow with the data.
 """
 
 from __future__ import annotations
@@ -12,23 +16,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A bucket spans 1/4096 of a power of two, so a group has at most some
-# millions of buckets over the whole double range and usually a few thousand.
-BUCKETS_PER_OCTAVE = 4096
+COARSE_PER_OCTAVE = 2**12
+FINE_PER_COARSE = 2**20
 
 
-def value_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
-    """Bucket number of a double; never decreases as the value grows.
+def value_buckets(value: Column) -> tuple[Column, Column]:
+    """Coarse and fine bucket number of a double, in value order.
 
-    Positive magnitudes are numbered by exponent and leading mantissa. The
-    numbering is continuous where the exponent steps, so a logarithm that
-    falls on the wrong side of a power of two still keeps the order.
+    Scaling by powers of two is exact, so are the numbers. Should the
+    logarithm land on the wrong side of a power of two, the numbering carries
+    on across it and names the same bucket.
     """
     size = F.abs(value)
     exponent = F.least(F.floor(F.log2(size)), F.lit(1024))
-    fraction = size / F.pow(F.lit(2.0), exponent) - 1
-    magnitude = (exponent + 1100) * per_octave + F.floor(fraction * per_octave)
-    return F.when(value == 0, F.lit(0)).when(value > 0, magnitude).otherwise(-magnitude).cast("bigint")
+    scaled = (size / F.pow(F.lit(2.0), exponent) - 1) * COARSE_PER_OCTAVE
+    coarse = (exponent + 1100) * COARSE_PER_OCTAVE + F.floor(scaled)
+    fine = F.floor((scaled - F.floor(scaled)) * FINE_PER_COARSE)
+
+    def signed(number: Column) -> Column:
+        return F.when(value == 0, F.lit(0)).when(value > 0, number).otherwise(-number).cast("bigint")
+
+    return signed(coarse), signed(fine)
 
 
 def count_values(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -45,26 +53,40 @@ def running_before(
 ) -> DataFrame:
     """Add ``out``: the total ``weight`` of the smaller values of the group.
 
-    ``counts`` holds one row per group and value. ``keep`` may restrict the
-    work to buckets of interest; it may use ``_before``, ``_total`` and
-    ``_all`` (weight before, in, and over all buckets of the group).
+    ``out``_all is the weight of the whole group. ``counts`` holds one row per
+    group and value. ``keep`` may restrict the work to stretches of interest;
+    it may use ``_before``, ``_total`` and ``_all`` (weight before and in the
+    stretch, and of the group).
     """
-    bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
-    totals = bucketed.groupBy(*group, "_bucket").agg(F.sum(weight).alias("_total"))
-    in_order = Window.partitionBy(*group).orderBy("_bucket")
-    offsets = totals.withColumns(
-        {
-            "_before": F.sum("_total").over(in_order) - F.col("_total"),
-            "_all": F.sum("_total").over(Window.partitionBy(*group)),
-        }
+    coarse, fine = value_buckets(F.col(value))
+    bucketed = counts.withColumns({"_coarse": coarse, "_fine": fine})
+
+    def kept(df: DataFrame) -> DataFrame:
+        return df if keep is None else df.filter(keep)
+
+    cells = bucketed.groupBy(*group, "_coarse", "_fine").agg(F.sum(weight).alias("_cell"))
+    over_coarse = Window.partitionBy(*group).orderBy("_coarse")
+    stretches = kept(
+        cells.groupBy(*group, "_coarse")
+        .agg(F.sum("_cell").alias("_total"))
+        .withColumns(
+            {
+                "_before": F.sum("_total").over(over_coarse) - F.col("_total"),
+                "_all": F.sum("_total").over(Window.partitionBy(*group)),
+            }
+        )
+    )
+    over_fine = Window.partitionBy(*group, "_coarse").orderBy("_fine")
+    offsets = kept(
+        cells.join(stretches.drop("_total"), [*group, "_coarse"])
+        .withColumn("_before", F.col("_before") + F.sum("_cell").over(over_fine) - F.col("_cell"))
+        .withColumnRenamed("_cell", "_total")
     )
-    if keep is not None:
-        offsets = offsets.filter(keep)
-    within = Window.partitionBy(*group, "_bucket").orderBy(value)
+    over_values = Window.partitionBy(*group, "_coarse", "_fine").orderBy(value)
     return (
-        bucketed.join(offsets, [*group, "_bucket"])
-        .withColumn(out, F.col("_before") + F.sum(weight).over(within) - F.col(weight))
-        .drop("_bucket", "_total", "_before")
+        bucketed.join(offsets, [*group, "_coarse", "_fine"])
+        .withColumn(out, F.col("_before") + F.sum(weight).over(over_values) - F.col(weight))
+        .drop("_coarse", "_fine", "_total", "_before")
         .withColumnRenamed("_all", f"{out}_all")
     )
 

@@ -95,3 +95,29 @@ def test_hot_value_does_not_change_the_answer(spark):
     df = spark.createDataFrame(pd.DataFrame({"g": "x", "v": values}))
     got = exact_quantiles(count_values(df, ["g"], "v"), ["g"], "v", "n", [0.1, 0.5, 0.95]).first()["quantiles"]
     assert got == pytest.approx(list(np.quantile(values, [0.1, 0.5, 0.95])))
+
+
+def test_buckets_keep_the_order_and_bound_their_size(spark):
+    from pyspark.sql import functions as F
+
+    from claimlake.operators.ranking import value_buckets
+
+    rng = np.random.default_rng(5)
+    powers = 2.0 ** np.arange(-60, 60)
+    near = np.concatenate([powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf)])
+    tight = 1.0 + np.arange(3000) * 2.0**-50
+    values = np.unique(np.concatenate([near, -near, tight, -tight, [0.0, 5e-324, -5e-324], rng.normal(0, 1, 2000)]))
+    coarse, fine = value_buckets(F.col("v"))
+    table = spark.createDataFrame(pd.DataFrame({"v": values})).select("v", coarse.alias("c"), fine.alias("f")).toPandas()
+    table = table.sort_values("v")
+    numbers = list(zip(table["c"], table["f"]))
+    assert numbers == sorted(numbers)
+
+
+def test_values_packed_into_one_coarse_bucket(spark):
+    values = 1.0 + np.random.default_rng(9).permutation(20_000) * 2.0**-40
+    df = spark.createDataFrame(pd.DataFrame({"g": "x", "v": values}))
+    got = exact_quantiles(count_values(df, ["g"], "v"), ["g"], "v", "n", [0.0, 0.3, 0.77, 1.0]).first()["quantiles"]
+    assert got == list(np.quantile(values, [0.0, 0.3, 0.77, 1.0])) or got == pytest.approx(
+        list(np.quantile(values, [0.0, 0.3, 0.77, 1.0])), rel=1e-15
+    )
