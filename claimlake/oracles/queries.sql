@@ -34,7 +34,7 @@ FROM raw_claims GROUP BY _bronze_null_flag
 SELECT _batch_id, count(*) AS n_rows, count(DISTINCT bene_id) AS n_members FROM batch_two GROUP BY _batch_id
 
 -- bronze_read_as_of: batch_one batch_two
-SELECT view, _batch_id, count(*) AS n_rows, round(sum(claim_amount), 4) AS total_amount FROM (
+SELECT view, _batch_id, count(*) AS n_rows, round(sum(claim_amount), 2) AS total_amount FROM (
     SELECT 'version 1' AS view, _batch_id, claim_amount FROM batch_one
     UNION ALL SELECT 'version 2', _batch_id, claim_amount FROM batch_one
     UNION ALL SELECT 'version 2', _batch_id, claim_amount FROM batch_two

@@ -157,7 +157,7 @@ def bronze_read_as_of(lake: Lake) -> DataFrame:
     }
     rows = [
         df.groupBy("_batch_id")
-        .agg(F.count(F.lit(1)).alias("n_rows"), X.settled_sum("claim_amount", X.COHORT_DIGITS).alias("total_amount"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), X.settled_sum("claim_amount", 2).alias("total_amount"))
         .withColumn("view", F.lit(name))
         for name, df in parts.items()
     ]

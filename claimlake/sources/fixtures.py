@@ -56,7 +56,7 @@ def claims(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFram
     joined = lines.join(
         orders.filter(F.col("o_custkey") % 29 != 0).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    k = F.col("o_orderkey") * 7 + F.col("l_linenumber")
     mix = (F.col("l_partkey") * 31 + F.col("l_suppkey")) % 100
     customer, line = F.col("o_custkey"), F.col("l_linenumber")
     price, discount, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
@@ -64,7 +64,7 @@ def claims(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFram
 
     columns = {
         "claim_id": _null_every(
-            499, k, F.concat(F.lit("CLM"), F.col("l_orderkey").cast("string"), F.lit("-"), line.cast("string"))
+            499, k, F.concat(F.lit("CLM"), F.col("o_orderkey").cast("string"), F.lit("-"), line.cast("string"))
         ),
         "bene_id": _null_every(503, k, bene_id("o_custkey")),
         "service_date": F.when(k % 521 == 0, None)
