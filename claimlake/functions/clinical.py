@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from itertools import chain
 from operator import or_
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.codes import (
@@ -118,17 +119,20 @@ def demographic_raf(sex: Column, age: Column) -> Column:
     return F.coalesce(_literal_map(cells)[cell], F.lit(DEMOGRAPHIC_DEFAULT))
 
 
-def crosswalk_frame(spark: SparkSession):
+def values_frame(spark: SparkSession, columns: str, rows: Iterable[Sequence]) -> DataFrame:
+    """A constant table. The planner knows its size, so it broadcasts it unasked."""
+    listed = ", ".join("(" + ", ".join(_sql_text(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {listed} AS t({columns})")
+
+
+def crosswalk_frame(spark: SparkSession) -> DataFrame:
     """The crosswalk as a DataFrame, one row per diagnosis code."""
-    return spark.createDataFrame(
-        CROSSWALK,
-        "icd10_code string not null, hcc_number int, hcc_description string, raf_coefficient double",
-    )
+    return values_frame(spark, "icd10_code, hcc_number, hcc_description, raf_coefficient", CROSSWALK)
 
 
-def demographic_frame(spark: SparkSession):
+def demographic_frame(spark: SparkSession) -> DataFrame:
     rows = [(s, b, w) for s, weights in DEMOGRAPHIC.items() for b, w in zip(BRACKETS, weights)]
-    return spark.createDataFrame(rows, "sex string, bracket int, demographic_raf double")
+    return values_frame(spark, "sex, bracket, demographic_raf", rows)
 
 
 def register_sql_functions(spark: SparkSession) -> None:

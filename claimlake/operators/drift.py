@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.codes import DRIFT_FEATURES
+from claimlake.functions.clinical import values_frame
 from claimlake.operators.lineage import materialized
 from claimlake.operators.ranking import exact_quantiles
 from claimlake.params import Params
@@ -123,7 +124,7 @@ def monitor_drift(
         .groupBy("feature")
         .agg(F.round(F.sum((actual - expected) * F.log(actual / expected)), 4).alias("psi"))
     )
-    listed = baseline.sparkSession.createDataFrame([(f,) for f in names], "feature string")
+    listed = values_frame(baseline.sparkSession, "feature", [(f,) for f in names])
     empty = (F.col("n_baseline") == 0) | (F.col("n_current") == 0)
     report = (
         listed.join(totals, "feature", "left")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlake.operators.lineage import materialized
 from claimlake.operators.ranking import running_before
 
 ACTUAL, PREDICTED = "risk_tier", "predicted_tier"
@@ -76,8 +77,10 @@ def auc_one_vs_rest(df: DataFrame, classes: Sequence[str]) -> DataFrame:
         F.col(ACTUAL), *[F.col(f"prob_{c}").cast("double").alias(c) for c in classes]
     ).unpivot([ACTUAL], list(classes), "class", "score")
     mine = (F.col(ACTUAL) == F.col("class")).cast("bigint")
-    counts = long.groupBy("class", "score").agg(
-        F.sum(mine).alias("n_pos"), F.sum(1 - mine).cast("double").alias("n_neg")
+    counts = materialized(
+        long.groupBy("class", "score").agg(
+            F.sum(mine).alias("n_pos"), F.sum(1 - mine).cast("double").alias("n_neg")
+        )
     )
     ranked = running_before(counts, ["class"], "score", "n_neg", "neg_below")
     pos, neg = F.col("n_pos"), F.col("n_neg")
