@@ -2,54 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.codes import CONDITIONS, FEATURES
 from claimlake.functions import expressions as X
 from claimlake.operators.lineage import materialized
-from claimlake.operators.rollups import passing
+from claimlake.operators.rollups import member_rollup, passing, score_members
 from claimlake.params import Params
 
 
-def pre_utilization(claims: DataFrame) -> DataFrame:
-    """Pre-period visits, months, cost and rates per member."""
-    month = X.month_index(F.col("service_year"), F.col("service_month"))
-    grouped = (
-        passing(claims)
-        .filter(F.col("period") == X.PRE)
-        .groupBy("bene_id")
-        .agg(
-            X.visits("is_inpatient").alias("pre_ip_admits"),
-            X.visits("is_ed_visit").alias("pre_ed_visits"),
-            X.visits("is_specialist").alias("pre_specialist_visits"),
-            X.visits("is_primary_care").alias("pre_primary_visits"),
-            F.size(F.collect_set(month)).cast("bigint").alias("pre_n_months"),
-            X.settled_sum("claim_amount", X.MEMBER_DIGITS).alias("pre_total_cost"),
-            F.count("claim_amount").alias("_n"),
-            F.max("claim_amount").alias("pre_max_claim"),
-        )
-    )
-    n = F.col("pre_n_months")
-    return grouped.withColumns(
+def named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
+# Pre-period service visits: feature -> service flag.
+PRE_VISITS = {
+    "pre_ip_admits": "is_inpatient",
+    "pre_ed_visits": "is_ed_visit",
+    "pre_specialist_visits": "is_specialist",
+    "pre_primary_visits": "is_primary_care",
+}
+
+
+def pre_aggregates() -> dict[str, Column]:
+    """Aggregates of a member's lines that look at pre-period lines only."""
+
+    def pre(value: Column) -> Column:
+        return F.when(F.col("period") == X.PRE, value)
+
+    month, amount = X.month_index(F.col("service_year"), F.col("service_month")), F.col("claim_amount")
+    return {
+        **{name: F.sum(pre(F.col(flag).cast("int"))) for name, flag in PRE_VISITS.items()},
+        "pre_n_months": F.size(F.collect_set(pre(month))).cast("bigint"),
+        "pre_total_cost": X.settled_sum(pre(amount), X.MEMBER_DIGITS),
+        "_pre_claims": F.count(pre(amount)),
+        "pre_max_claim": F.max(pre(amount)),
+    }
+
+
+def with_pre_rates(df: DataFrame) -> DataFrame:
+    """Mean claim, PMPM and visit rates from the pre-period aggregates."""
+    n, total = F.col("pre_n_months"), F.col("pre_total_cost")
+    return df.withColumns(
         {
-            "pre_avg_claim": F.col("pre_total_cost") / F.col("_n"),
-            "pre_pmpm": X.per(F.col("pre_total_cost"), n),
+            "pre_avg_claim": total / F.nullif(F.col("_pre_claims"), F.lit(0)),
+            "pre_pmpm": X.per(total, n),
             "pre_ip_rate": X.per(F.col("pre_ip_admits"), n),
             "pre_ed_rate": X.per(F.col("pre_ed_visits"), n),
         }
-    ).drop("_n")
+    ).drop("_pre_claims")
+
+
+def pre_utilization(claims: DataFrame) -> DataFrame:
+    """Pre-period visits, months, cost and rates of members with such claims."""
+    lines = passing(claims).filter(F.col("period") == X.PRE)
+    return with_pre_rates(lines.groupBy("bene_id").agg(*named(pre_aggregates())))
 
 
 def feature_store(scores: DataFrame, pre_util: DataFrame) -> DataFrame:
-    """Key, 33 features, sex, state and the two labels.
+    """Features from scores joined to pre-period utilization.
 
     Both inputs carry pre-period cost; the utilization side is the one used.
-    Flags become 0/1, missing numbers 0, and an unknown sex stays unknown.
     """
     overlap = [c for c in pre_util.columns if c in scores.columns and c != "bene_id"]
-    joined = scores.drop(*overlap).join(pre_util, "bene_id", "left")
-    encoded = joined.withColumns({flag: F.col(flag).cast("int") for flag in CONDITIONS})
+    return encode_features(scores.drop(*overlap).join(pre_util, "bene_id", "left"))
+
+
+def feature_store_in_one_pass(profile: DataFrame, mapped: DataFrame, params: Params) -> DataFrame:
+    """The same features from one grouping of the mapped lines by member.
+
+    Mapped lines are the quality-pass lines that utilization counts, so the
+    pre-period aggregates join the member rollup and neither a second read
+    nor a second join is needed.
+    """
+    extra = pre_aggregates()
+    del extra["pre_total_cost"]  # already part of the rollup
+    rollup = member_rollup(mapped, named(extra))
+    return encode_features(with_pre_rates(score_members(profile, rollup, params)))
+
+
+def encode_features(wide: DataFrame) -> DataFrame:
+    """Key, 33 features, sex, state and the two labels.
+
+    Flags become 0/1, missing numbers 0, and an unknown sex stays unknown.
+    """
+    encoded = wide.withColumns({flag: F.col(flag).cast("int") for flag in CONDITIONS})
     numeric = [f for f in FEATURES if f in encoded.columns]
     filled = encoded.na.fill(0, numeric)
     return filled.withColumns(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlake.codes import CONDITIONS, INTERACTIONS
@@ -26,8 +28,8 @@ def _months_in(label: str):
     return F.size(F.collect_set(F.when(F.col("period") == label, month))).cast("bigint")
 
 
-def member_rollup(mapped: DataFrame) -> DataFrame:
-    """19 aggregates per member over mapped claim lines."""
+def member_rollup(mapped: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
+    """19 aggregates per member over mapped claim lines, and any ``extra`` ones."""
     amount, period = F.col("claim_amount"), F.col("period")
     return mapped.groupBy("bene_id").agg(
         F.max("hcc_burden_count").alias("max_hcc_burden"),
@@ -42,6 +44,7 @@ def member_rollup(mapped: DataFrame) -> DataFrame:
         _months_in(X.POST).alias("post_months"),
         X.settled_sum(F.when(period == X.PRE, amount), X.MEMBER_DIGITS).alias("pre_total_cost"),
         X.settled_sum(F.when(period == X.POST, amount), X.MEMBER_DIGITS).alias("post_total_cost"),
+        *extra,
     )
 
 

@@ -229,6 +229,11 @@ SELECT * REPLACE (round(log_pre_pmpm, 6) AS log_pre_pmpm, round(log_estimated_co
                   round(log_pre_total_cost, 6) AS log_pre_total_cost)
 FROM store
 
+-- gold_feature_store_joined: store
+SELECT * REPLACE (round(log_pre_pmpm, 6) AS log_pre_pmpm, round(log_estimated_cost, 6) AS log_estimated_cost,
+                  round(log_pre_total_cost, 6) AS log_pre_total_cost)
+FROM store
+
 -- gold_feature_store_by_tier: store
 SELECT risk_tier, count(*) AS n, round(avg(raf_score), 3) AS mean_raf, round(avg(pre_pmpm), 2) AS mean_pre_pmpm,
        round(avg(max_hcc_burden), 1) AS mean_hcc_burden, round(avg(log_pre_pmpm), 3) AS mean_log_pre_pmpm

@@ -70,7 +70,7 @@ class Lake:
         return features.pre_utilization(self.clean("service_type"))
 
     def store(self) -> DataFrame:
-        return features.feature_store(self.scores(), self.pre_utilization())
+        return features.feature_store_in_one_pass(self.profile(), self.mapped(), self.params)
 
     def snapshots(self) -> tuple[DataFrame, DataFrame]:
         frames = features.period_snapshots(self.profile(), self.mapped(), self.params)
@@ -397,6 +397,12 @@ def gold_feature_store(lake: Lake) -> DataFrame:
     return lake.store().withColumns({c: F.round(c, 6) for c in _LOGS})
 
 
+@query
+def gold_feature_store_joined(lake: Lake) -> DataFrame:
+    store = features.feature_store(lake.scores(), lake.pre_utilization())
+    return store.withColumns({c: F.round(c, 6) for c in _LOGS})
+
+
 @query
 def gold_feature_store_by_tier(lake: Lake) -> DataFrame:
     return features.features_by_tier(lake.store())
