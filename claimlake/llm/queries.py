@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import attribution, extraction, line_dedup, packing, quality, secret_scan, url_filter
+from claimlake.llm import attribution, decontamination, extraction, line_dedup, packing, quality, secret_scan, url_filter
 from claimlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     return found.select(
@@ -86,6 +98,7 @@ QUERIES: dict[str, Query] = {
         op3_packing,
         op4_url_filter,
         op6_quality_rules,
+        op7_decontamination,
         op8_secret_scan,
         op10_html_extraction,
     )
