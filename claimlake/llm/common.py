@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +76,10 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder for written tables that driver and executors share."""
     ensure_checkpoint_dir(spark)
     return spark.sparkContext.getCheckpointDir()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder, for reads of a few columns."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

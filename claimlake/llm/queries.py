@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import attribution, decontamination, extraction, line_dedup, packing, quality, secret_scan, url_filter
+from claimlake.llm import attribution, decontamination, extraction, line_dedup, packing, quality, secret_scan, similarity, url_filter
 from claimlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.links_per_document(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
@@ -100,6 +104,7 @@ QUERIES: dict[str, Query] = {
         op6_quality_rules,
         op7_decontamination,
         op8_secret_scan,
+        op9_jaccard_join,
         op10_html_extraction,
     )
 }
