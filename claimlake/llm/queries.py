@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import attribution, decontamination, extraction, line_dedup, packing, quality, secret_scan, similarity, url_filter
+from claimlake.llm import attribution, decontamination, extraction, line_dedup, packing, personal_data, quality, secret_scan, similarity, url_filter
 from claimlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,17 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [personal_data.n_of_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal_data.spans_text(F.col("base")), 256).alias("base_sha256"),
+        personal_data.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -101,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op2_line_dedup,
         op3_packing,
         op4_url_filter,
+        op5_personal_data,
         op6_quality_rules,
         op7_decontamination,
         op8_secret_scan,

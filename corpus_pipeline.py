@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import line_dedup, packing, quality, queries
+from claimlake.llm import decontamination, line_dedup, packing, quality, queries, similarity
 from claimlake.llm.common import DOCUMENT_COLUMNS, shared_folder, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -30,6 +30,18 @@ def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*DOCUMENT_COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group whose word shingles link it."""
+    return similarity.one_per_class(docs).select(*DOCUMENT_COLUMNS)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by a benchmark item."""
+    carried = tuple(c for c in DOCUMENT_COLUMNS if c != "doc_id")
+    judged = decontamination.judged(docs, table(spark, sf_dir, "benchmark"), carry=carried)
+    return judged.where("NOT contaminated").select(*DOCUMENT_COLUMNS)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document in a sequence."""
     return packing.pack(docs, queries.packing_params())
@@ -38,6 +50,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("line_dedup", site_lines),
+    ("jaccard_join", near_duplicates),
+    ("decontamination", decontaminated),
     ("packing", packed),
 ]
 
