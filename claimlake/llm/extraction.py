@@ -91,6 +91,12 @@ def _is_article(name: str, attributes: str) -> bool:
     )
 
 
+def _is_closed(page: str, name: str, at: int) -> bool:
+    """Whether an element that is open at a place of the page has an end further on."""
+    ends = len(re.findall(rf"</{name}\b", page[at:], re.I))
+    return ends > len(re.findall(rf"<{name}\b", page[at:], re.I))
+
+
 def page_lines(page: str) -> list[Line]:
     """The lines of a page: the text of its block elements, in order."""
     lines: list[Line] = []
@@ -150,8 +156,8 @@ def page_lines(page: str) -> list[Line]:
         if name in LOOSE and not bad:
             continue
         starts = not bad and _is_article(name, attributes)
-        if starts and noise and not any(n in ("aside", "nav", "footer", "form") for n, b, _ in stack if b):
-            leave(next(i for i, s in enumerate(stack) if s[1]))  # a notice or header that was never closed
+        if starts and noise and not any(_is_closed(page, n, tag.start()) for n, b, _ in stack if b):
+            leave(next(i for i, s in enumerate(stack) if s[1]))  # left open by mistake
         if starts and not noise and not article:
             articles += 1
             article = articles

@@ -89,7 +89,7 @@ def without_boilerplate(
     lines = F.split("page_text", "\n", -1)
     # digests are computed only for pages of sites that have lines to remove
     hits = F.when(
-        F.col("line_site").isNotNull() & F.col("page_text").isNotNull(),
+        F.col("line_digests").isNotNull() & F.col("page_text").isNotNull(),
         F.array_intersect(F.transform(lines, _digest), "line_digests"),
     )
     hit = F.coalesce(F.size("hits"), F.lit(0)) > 0
