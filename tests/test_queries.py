@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from claimlake import oracles
+from claimlake.plans import catalog
 from tests.compare import connect, difference, duck_rows, spark_rows
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.registered(), oracles.compose()
 WITHOUT_SQL = {"ml_predictions", "ml_calibrated", "ml_importance"}
 
 
