@@ -63,6 +63,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def in_few_tasks(df: DataFrame, rows: int, rows_per_task: int = 25_000) -> DataFrame:
+    """``df``, of about ``rows`` rows, in as many tasks as they need and no more.
+
+    For small frames between shuffles: it is right whatever the partitioning, and
+    where rows are many it changes nothing.
+    """
+    wanted = rows // rows_per_task + 1
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(wanted) if wanted < usual else df
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows fit ``limit``, else unchanged.
 
@@ -72,6 +83,21 @@ def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYT
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def bit_array(places: DataFrame, words: int) -> DataFrame:
+    """One row, ``bits``: an array of longs in which the bits at the numbers ``p`` are set."""
+    set_bits = places.select(
+        F.floor(F.col("p") / 64).alias("word"), F.expr("shiftleft(1L, cast(pmod(p, 64) AS int))").alias("bits")
+    )
+    zeros = places.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    filled = set_bits.unionByName(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    in_order = F.sort_array(F.collect_list(F.struct("word", "bits")))
+    return filled.agg(F.transform(in_order, lambda s: s["bits"]).alias("bits"))
+
+
+def bit_is_set(bits: Column, place: Column) -> Column:
+    return F.getbit(F.get(bits, F.floor(place / 64).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written tables that driver and executors share."""
     ensure_checkpoint_dir(spark)

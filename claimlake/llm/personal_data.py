@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import broadcast_if_small, checkpointed, text_key, text_or_empty, written
+from claimlake.llm.common import bit_array, bit_is_set, broadcast_if_small, checkpointed, text_key, text_or_empty, written
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -44,6 +44,8 @@ NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 #: Strings that may be identifiers of a form the kinds do not have.
 CANDIDATE = r"(?<![A-Za-z0-9@])[A-Za-z0-9(][A-Za-z0-9@._%+/#()-]{4,62}[A-Za-z0-9](?![A-Za-z0-9@])"
 SPAN = "struct<start:int,kind:int,end:int>"
+#: Bits of the fixed-size map of patterns that pairs of words are tried on before they are counted.
+MAP_BITS = 1 << 20
 #: Characters before an identifier in which its two context words must lie.
 CONTEXT_CHARS = 64
 
@@ -171,8 +173,12 @@ def pattern_counts(docs: DataFrame, patterns: DataFrame, text_column: str) -> Da
     keyed = patterns.select(
         "pattern", F.xxhash64(F.split("pattern", " ")[0], F.split("pattern", " ")[1]).alias("pair")
     )
-    places = words.select(F.explode(pairs).alias("pair")).join(broadcast_if_small(keyed, 96), "pair")
-    return places.groupBy("pattern").agg(F.count(F.lit(1)).alias("n_places"))
+    place = F.pmod("pair", F.lit(MAP_BITS).cast("bigint"))
+    bits = checkpointed(bit_array(keyed.select(place.alias("p")), MAP_BITS // 64)).scalar()
+    # the map of patterns lets few other pairs through, so little is counted and shuffled for nothing
+    places = words.select(F.explode(pairs).alias("pair")).where(bit_is_set(bits, place))
+    counts = places.groupBy("pair").agg(F.count(F.lit(1)).alias("n_places"))
+    return counts.join(keyed, "pair").select("pattern", "n_places")
 
 
 def discovered(docs: DataFrame, found: DataFrame, params: BootstrapParams, text_column: str) -> DataFrame:

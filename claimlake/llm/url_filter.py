@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import LOWER, UPPER, checkpointed
+from claimlake.llm.common import LOWER, UPPER, bit_array, bit_is_set, checkpointed
 
 ALLOW, BLOCK = "allow", "block"
 
@@ -44,11 +44,7 @@ class Level:
 
     def passes(self, key: Column, hashes: int) -> Column:
         bits = self.bits.scalar()
-        tests = [
-            F.getbit(F.get(bits, F.floor(p / 64).cast("int")), F.pmod(p, F.lit(64)).cast("int")) == 1
-            for p in positions(key, self.number, self.n_bits, hashes)
-        ]
-        return reduce(Column.__and__, tests)
+        return reduce(Column.__and__, [bit_is_set(bits, p) for p in positions(key, self.number, self.n_bits, hashes)])
 
 
 def positions(key: Column, level: int, n_bits: int, hashes: int) -> list[Column]:
@@ -72,18 +68,8 @@ class Cascade:
 def _level(keys: DataFrame, count: int, number: int, params: CascadeParams) -> Level:
     words = -(-count * params.bits_per_key // 64)
     n_bits = 64 * words
-    spark = keys.sparkSession
     at = keys.select(F.explode(F.array(*positions(F.col("key"), number, n_bits, params.hashes))).alias("p"))
-    set_bits = at.select(
-        F.floor(F.col("p") / 64).alias("word"),
-        F.expr("shiftleft(1L, cast(pmod(p, 64) AS int))").alias("bits"),
-    )
-    zeros = spark.range(words).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
-    filled = set_bits.unionByName(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    array = filled.agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("word", "bits"))), lambda s: s["bits"]).alias("bits")
-    )
-    return Level(checkpointed(array), n_bits, number)
+    return Level(checkpointed(bit_array(at, words)), n_bits, number)
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, params: CascadeParams = CascadeParams()) -> Cascade | None:
