@@ -124,3 +124,6 @@ POPULATIONS: tuple[tuple[str, int], ...] = (
     ("National-scale (1M members)", 1_000_000),
     ("National-scale (4.7M members)", 4_700_000),
 )
+
+# Columns whose digest decides between claim lines of one key and equal amounts.
+TIE_COLUMNS = ("service_type", "icd10_primary", "icd10_codes", "provider_specialty", "plan_type", "intervention_arm")

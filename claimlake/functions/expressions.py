@@ -10,15 +10,18 @@ from claimlake.params import Params
 
 PRE, POST = "pre", "post"
 
-# Decimals to which sums of amounts are settled. Adding doubles in another
-# order changes the last bits; settling the sum makes what is derived from it
-# the same on every run. Cohort sums are larger and keep fewer decimals.
-MEMBER_DIGITS = 8
-COHORT_DIGITS = 4
+# Amounts are added as decimals, so the order of addition cannot change a sum; the
+# double nearest to the exact sum is taken once, at the end.
+AMOUNT = "decimal(28,8)"
 
 
-def settled_sum(column: str | Column, digits: int) -> Column:
-    return F.round(F.sum(column), digits)
+def exact_sum(column: str | Column) -> Column:
+    amount = F.col(column) if isinstance(column, str) else column
+    return F.sum(amount.cast(AMOUNT)).cast("double")
+
+
+def exact_mean(column: str) -> Column:
+    return exact_sum(column) / F.nullif(F.count(column), F.lit(0))
 
 
 def iso_date(column: str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlake.codes import TIE_COLUMNS
 from claimlake.functions import expressions as X
 from claimlake.operators.validation import BRONZE_NULL
 from claimlake.params import Params
@@ -38,8 +39,8 @@ def dedup_keep_best(
 
     NULL keys are equal to each other and a NULL ``best`` loses. Ties go by
     ``tie_breakers``, by default every other column the frame has (claim
-    amount first): select the columns you need beforehand and the rest stay
-    out of the shuffle. Each map task keeps only its own best row per key
+    amount first). To drop columns and still keep the same row, order by
+    ``tie_digest``, taken before. Each map task keeps only its own best row per key
     before the shuffle, so a key holding most rows does not make one large task.
     """
     if tie_breakers is None:
@@ -50,6 +51,12 @@ def dedup_keep_best(
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def tie_digest(df: DataFrame) -> Column:
+    """A digest of the text columns of a claim line, to order lines of equal amounts."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TIE_COLUMNS if c in df.columns]
+    return F.substring(F.md5(F.concat_ws("|", *texts)), 1, 16)
+
+
 def quality_rules(params: Params) -> dict[str, Column]:
     amount, date = F.col("claim_amount"), F.col("service_date")
     return {
@@ -65,11 +72,8 @@ def quality_rules(params: Params) -> dict[str, Column]:
     }
 
 
-FLAGS = (
-    "flag_null_claim_id", "flag_null_bene_id", "flag_negative_amount", "flag_zero_amount",
-    "flag_excessive_amount", "flag_future_date", "flag_null_service_date", "flag_null_icd10",
-    "flag_bronze_null",
-)
+def flags(params: Params = Params()) -> tuple[str, ...]:
+    return tuple(quality_rules(params))
 
 
 def derive_features(df: DataFrame, params: Params) -> DataFrame:
@@ -96,7 +100,7 @@ def volume_by_month(df: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n_claims"),
             F.count_distinct("bene_id").alias("n_members"),
-            X.settled_sum("claim_amount", X.COHORT_DIGITS).alias("_total"),
+            X.exact_sum("claim_amount").alias("_total"),
             F.count("claim_amount").alias("_n_amounts"),
         )
         .select(
@@ -107,5 +111,4 @@ def volume_by_month(df: DataFrame) -> DataFrame:
             F.round("_total", 0).alias("total_cost_usd"),
             F.round(F.col("_total") / F.nullif(F.col("_n_amounts"), F.lit(0)), 2).alias("avg_claim_usd"),
         )
-        .orderBy("claim_year", "claim_month")
     )

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from claimlake.codes import DRIFT_FEATURES
 from claimlake.functions.clinical import values_frame
-from claimlake.operators.lineage import materialized
 from claimlake.operators.ranking import exact_quantiles
 from claimlake.params import Params
 
@@ -33,12 +32,12 @@ def value_counts(baseline: DataFrame, current: DataFrame, features: Sequence[str
     """Rows of each snapshot per feature and distinct value.
 
     Every later step reads this one aggregate, so a value shared by most
-    members is a single row from here on, and it is computed once.
+    members is a single row from here on; the shuffle below it is reused.
     """
     both = _long(baseline, features).withColumns({"b": F.lit(1), "c": F.lit(0)}).unionByName(
         _long(current, features).withColumns({"b": F.lit(0), "c": F.lit(1)})
     )
-    return materialized(
+    return (
         both.filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("feature", "value")
         .agg(F.sum("b").alias("n_baseline"), F.sum("c").alias("n_current"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from claimlake.codes import CONDITIONS, FEATURES
 from claimlake.functions import expressions as X
-from claimlake.operators.lineage import materialized
 from claimlake.operators.rollups import member_rollup, passing, score_members
 from claimlake.params import Params
 
@@ -35,7 +34,7 @@ def pre_aggregates() -> dict[str, Column]:
     return {
         **{name: F.sum(pre(F.col(flag).cast("int"))) for name, flag in PRE_VISITS.items()},
         "pre_n_months": F.size(F.collect_set(pre(month))).cast("bigint"),
-        "pre_total_cost": X.settled_sum(pre(amount), X.MEMBER_DIGITS),
+        "pre_total_cost": X.exact_sum(pre(amount)),
         "_pre_claims": F.count(pre(amount)),
         "pre_max_claim": F.max(pre(amount)),
     }
@@ -110,34 +109,40 @@ def features_by_tier(store: DataFrame) -> DataFrame:
             F.round(F.avg("max_hcc_burden"), 1).alias("mean_hcc_burden"),
             F.round(F.avg("log_pre_pmpm"), 3).alias("mean_log_pre_pmpm"),
         )
-        .orderBy(F.desc("mean_raf"), "risk_tier")
     )
 
 
 def period_snapshots(profile: DataFrame, mapped: DataFrame, params: Params) -> dict[str, DataFrame]:
     """The drift features of every member, once per period, keyed by period.
 
-    Claims are rolled up by member and period in one pass, which both
-    snapshots then read.
+    Both snapshots are columns of one row per member: one grouping, one join
+    with the profile, whose shuffles serve both.
     """
     month = X.month_index(F.col("service_year"), F.col("service_month"))
-    cost = X.settled_sum("claim_amount", X.MEMBER_DIGITS)
-    rollup = materialized(
-        mapped.groupBy("bene_id", "period").agg(
-            F.max("hcc_burden_count").alias("max_hcc_burden"),
-            F.max("hcc_raf_total").alias("max_hcc_raf"),
-            F.max("hcc_interaction_total").alias("max_interaction_raf"),
-            X.visits("is_inpatient").alias("pre_ip_admits"),
-            X.visits("is_ed_visit").alias("pre_ed_visits"),
-            X.per(cost, F.size(F.collect_set(month))).alias("pre_pmpm"),
-        )
+
+    def measures(label: str) -> list[Column]:
+        def within(value: Column) -> Column:
+            return F.when(F.col("period") == label, value)
+
+        months = F.size(F.collect_set(within(month)))
+        values = {
+            **{c: F.max(within(F.col(c))) for c in ("max_hcc_burden", "max_hcc_raf", "max_interaction_raf")},
+            "pre_ip_admits": F.sum(within(F.col("is_inpatient").cast("int"))),
+            "pre_ed_visits": F.sum(within(F.col("is_ed_visit").cast("int"))),
+            "pre_pmpm": X.per(X.exact_sum(within(F.col("claim_amount"))), months),
+        }
+        return [value.alias(f"{label}_{name}") for name, value in values.items()]
+
+    named_lines = mapped.withColumnsRenamed(
+        {"hcc_burden_count": "max_hcc_burden", "hcc_raf_total": "max_hcc_raf", "hcc_interaction_total": "max_interaction_raf"}
     )
+    rollup = named_lines.groupBy("bene_id").agg(*measures(X.PRE), *measures(X.POST))
+    everyone = profile.select("bene_id", "demographic_raf").join(rollup, "bene_id", "left").na.fill(0)
     score = F.col("demographic_raf") + F.col("max_hcc_raf") + F.col("max_interaction_raf")
 
     def snapshot(label: str) -> DataFrame:
-        mine = rollup.filter(F.col("period") == label).drop("period")
-        everyone = profile.select("bene_id", "demographic_raf").join(mine, "bene_id", "left").na.fill(0)
-        return everyone.withColumn("raf_score", score).withColumn(
+        own = [F.col(c).alias(c.removeprefix(f"{label}_")) for c in rollup.columns if c.startswith(f"{label}_")]
+        return everyone.select("bene_id", "demographic_raf", *own).withColumns({"raf_score": score}).withColumn(
             "estimated_annual_cost", F.col("raf_score") * params.benchmark_pmpm * 12
         )
 

@@ -34,29 +34,48 @@ def map_claims(df: DataFrame) -> DataFrame:
 
 
 def map_by_join(df: DataFrame, crosswalk: DataFrame, key: list[str]) -> DataFrame:
-    """Category list and weight of each ``key`` by joining to a crosswalk table.
+    """What ``map_claims`` adds, per ``key``, by joining to a crosswalk table.
 
     For a crosswalk too large for a literal map. Codes are exploded and joined
     to the crosswalk (the planner broadcasts it while it is small), then folded
-    back per key; the sets are bounded by the codes on one claim.
+    back per key; the sets are bounded by the codes on one claim. The primary
+    code is joined once more for its category and label.
     """
     codes = df.select(
-        *key, F.explode_outer(F.split("icd10_codes", r"\|")).alias("_code")
+        *key, "icd10_primary", F.explode_outer(F.split("icd10_codes", r"\|")).alias("_code")
     ).withColumn("_code", clinical.clean_code(F.col("_code")))
     hit = codes.join(crosswalk, F.col("_code") == F.col("icd10_code"), "left")
     pairs = F.collect_set(
         F.when(F.col("hcc_number").isNotNull(), F.struct("hcc_number", "raf_coefficient"))
     )
+    folded = hit.groupBy(*key).agg(F.array_sort(pairs).alias("_pairs"), F.max("icd10_primary").alias("icd10_primary"))
+    listed = folded.select(
+        *key,
+        "icd10_primary",
+        F.col("_pairs.hcc_number").alias("hcc_list"),
+        F.round(F.aggregate("_pairs", F.lit(0.0), lambda total, p: total + p["raf_coefficient"]), 4).alias(
+            "hcc_raf_total"
+        ),
+    )
+    primary = crosswalk.select(
+        F.col("icd10_code").alias("_primary"),
+        F.col("hcc_number").alias("primary_hcc"),
+        F.col("hcc_description").alias("_label"),
+    )
+    named = listed.join(primary, clinical.clean_code(F.col("icd10_primary")) == F.col("_primary"), "left")
+    given = F.col("icd10_primary") != ""
+    hccs = F.col("hcc_list")
     return (
-        hit.groupBy(*key)
-        .agg(F.array_sort(pairs).alias("_pairs"))
-        .select(
-            *key,
-            F.col("_pairs.hcc_number").alias("hcc_list"),
-            F.round(
-                F.aggregate("_pairs", F.lit(0.0), lambda total, p: total + p["raf_coefficient"]), 4
-            ).alias("hcc_raf_total"),
+        named.withColumns(
+            {
+                "primary_hcc_desc": F.when(given, F.coalesce("_label", F.lit(UNMAPPED_LABEL))),
+                "hcc_burden_count": F.size(hccs),
+                **clinical.condition_flags(hccs),
+            }
         )
+        .drop("_primary", "_label", "icd10_primary")
+        .withColumns(clinical.interaction_terms())
+        .withColumn("hcc_interaction_total", clinical.interaction_total())
     )
 
 
@@ -91,7 +110,7 @@ def top_conditions(mapped: DataFrame, n: int = 15) -> DataFrame:
             F.count_distinct("bene_id").alias("n_members"),
             F.count("claim_id").alias("n_claims"),
             F.round(F.avg("hcc_raf_total"), 3).alias("mean_hcc_raf"),
-            F.round(F.sum("claim_amount"), 0).alias("total_cost_usd"),
+            F.round(X.exact_sum("claim_amount"), 0).alias("total_cost_usd"),
         )
         .orderBy(F.desc("n_members"), "primary_hcc_desc", "primary_hcc")
         .limit(n)

@@ -6,19 +6,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlake.operators.claims import dedup_keep_best
 
 
-def only_new_batches(incoming: DataFrame, table: DataFrame, batch: str = "_batch_id") -> DataFrame:
-    """The incoming rows whose batch the table does not hold yet.
+def only_new_batches(incoming: DataFrame, ledger: DataFrame, batch: str = "_batch_id") -> DataFrame:
+    """The incoming rows whose batch the ledger does not list yet.
 
-    Rows of one batch share one key, so they are not shuffled on it: the ids
-    already held, cut down to those of the incoming batches, are broadcast.
+    The ledger has a row per landed batch, so no landed data is read, and the
+    planner sees its size. A NULL batch is never listed.
     """
-    arriving = incoming.select(batch).distinct()
-    known = table.select(batch).distinct().join(arriving, batch, "left_semi")
-    return incoming.join(F.broadcast(known), batch, "left_anti").select(*incoming.columns)
+    return incoming.join(ledger.select(batch), batch, "left_anti").select(*incoming.columns)
+
+
+def version_order(df: DataFrame, column: str) -> Column:
+    """A value that orders versions: numbers as numbers, also where they are text.
+
+    Text is compared by length without leading zeros, then character by
+    character. That is numeric order for digits and text order for ids of one width.
+    """
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return F.col(column)
+    digits = F.ltrim(F.col(column), F.lit("0"))
+    return F.when(F.col(column).isNotNull(), F.struct(F.length(digits).alias("width"), digits.alias("text")))
+
+
+def _given_order(df: DataFrame, column: str, version: str | int) -> Column:
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return F.lit(version)
+    digits = str(version).lstrip("0")
+    return F.struct(F.lit(len(digits)).alias("width"), F.lit(digits).alias("text"))
 
 
 def read_as_of(
@@ -30,7 +48,7 @@ def read_as_of(
 ) -> DataFrame:
     """An append-only table as it stood at a version or, failing that, a time."""
     if version is not None:
-        return table.filter(F.col(version_column) <= F.lit(version))
+        return table.filter(version_order(table, version_column) <= _given_order(table, version_column, version))
     if timestamp is not None:
         return table.filter(F.col(timestamp_column) <= F.to_timestamp(F.lit(timestamp)))
     return table
@@ -55,7 +73,8 @@ def latest_snapshot(
 
 def latest_per_key(table: DataFrame, keys: Sequence[str], version_column: str = "_batch_id") -> DataFrame:
     """The newest version of every key."""
-    return dedup_keep_best(table, keys, best=version_column)
+    ordered = table.withColumn("_version", version_order(table, version_column))
+    return dedup_keep_best(ordered, keys, best="_version").drop("_version")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

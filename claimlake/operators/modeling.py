@@ -11,7 +11,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlake.codes import FEATURES, LEAK_FREE_FEATURES
@@ -23,7 +23,7 @@ LABEL, COST, KEY = "risk_tier", "estimated_annual_cost", "bene_id"
 def require_features(df: DataFrame, features: Sequence[str]) -> None:
     missing = [f for f in features if f not in df.columns]
     if missing:
-        raise ValueError(f"Feature store is missing {len(missing)} expected columns: {missing}")
+        raise ValueError(f"no such feature columns: {', '.join(missing)}")
 
 
 def feature_matrix(store: DataFrame, features: Sequence[str] = FEATURES, keep: Sequence[str] = (KEY, LABEL)) -> DataFrame:
@@ -46,8 +46,7 @@ def stratified_split(df: DataFrame, params: Params, key: str = KEY, stratum: str
     The test part of a stratum is its share rounded up. The hash at the cut
     is found from counts per hash prefix and an ordering of the one prefix
     that holds the cut, so no stratum is ever sorted as a whole; the rows
-    themselves are only compared with their stratum's cut. The broadcast
-    tables have one row per stratum.
+    themselves are only compared with their stratum's cut.
     """
     hashed = df.withColumns({"_hash": F.md5(F.col(key).cast("binary")), "_key": F.col(key)})
     prefixed = hashed.select(stratum, "_hash", "_key", F.substring("_hash", 1, 4).alias("_prefix"))
@@ -63,14 +62,14 @@ def stratified_split(df: DataFrame, params: Params, key: str = KEY, stratum: str
     )
     rank = F.row_number().over(Window.partitionBy(stratum, "_prefix").orderBy("_hash", "_key"))
     cut = (
-        prefixed.join(F.broadcast(cut_prefix), [stratum, "_prefix"])
+        prefixed.join(cut_prefix, [stratum, "_prefix"])
         .withColumn("_rank", rank)
         .filter(F.col("_rank") == F.col("_left"))
         .select(stratum, F.struct("_hash", "_key").alias("_cut"))
     )
     first_part = F.coalesce(F.struct("_hash", "_key") <= F.col("_cut"), F.lit(False))
     return (
-        hashed.join(F.broadcast(cut), stratum, "left")
+        hashed.join(cut, stratum, "left")
         .withColumn("is_train", first_part)
         .drop("_hash", "_key", "_cut")
     )
@@ -98,6 +97,21 @@ def _boosting_options(params: Params) -> dict:
     }
 
 
+def calibration_grid(scored: DataFrame, score: str, hit: Column, params: Params) -> DataFrame:
+    """Rate of hits and weight per score, with scores on ``calibration_digits`` decimals.
+
+    The grid bounds what the isotonic fit holds, whatever the number of members.
+    """
+    return scored.groupBy(F.round(score, params.calibration_digits).alias("point")).agg(
+        F.avg(hit.cast("double")).alias("rate"), F.count(F.lit(1)).cast("double").alias("w")
+    )
+
+
+def fit_calibrator(grid: DataFrame, out: str) -> Model:
+    """The monotone least-squares fit of rates over points."""
+    return IsotonicRegression(featuresCol="point", labelCol="rate", weightCol="w", predictionCol=out).fit(grid)
+
+
 @dataclass
 class TierScorer:
     """A fitted classifier that adds one raw score column per class."""
@@ -163,8 +177,7 @@ class RiskModel:
     def _fit_calibrators(self, train: DataFrame) -> list[Model]:
         """One isotonic fit per class on out-of-fold scores.
 
-        Scores are gathered on a grid of 10,001 points first, which bounds
-        what the isotonic fit has to hold whatever the number of members.
+        Scores are gathered on a grid first, see ``calibration_grid``.
         """
         folds = self.params.calibration_folds
         fold = F.pmod(F.xxhash64(KEY), F.lit(folds))
@@ -173,17 +186,12 @@ class RiskModel:
             for i in range(folds)
         ]
         scored = reduce(DataFrame.unionByName, parts)
-        models = []
-        for i, c in enumerate(self.classes):
-            grid = (
-                scored.groupBy(F.round(f"score_{c}", 4).alias("point"))
-                .agg(F.avg((F.col("label") == i).cast("double")).alias("rate"), F.count(F.lit(1)).cast("double").alias("w"))
+        return [
+            fit_calibrator(
+                calibration_grid(scored, f"score_{c}", F.col("label") == i, self.params), f"calibrated_{c}"
             )
-            iso = IsotonicRegression(
-                featuresCol="point", labelCol="rate", weightCol="w", predictionCol=f"calibrated_{c}"
-            )
-            models.append(iso.fit(grid))
-        return models
+            for i, c in enumerate(self.classes)
+        ]
 
     def fit(self, store: DataFrame, calibrate: bool = True) -> RiskModel:
         matrix = self._assemble(store)
@@ -206,7 +214,7 @@ class RiskModel:
     def predict(self, store: DataFrame) -> DataFrame:
         """Key, predicted tier and cost, and one probability per class."""
         if self.scorer is None:
-            raise RuntimeError("Model not fitted; call fit() first")
+            raise RuntimeError("train the model before using it")
         scored = self.regressor.transform(self.scorer.transform(self._assemble(store)))
         raw = {c: F.col(f"score_{c}") for c in self.classes}
         if self.calibrators:
@@ -228,7 +236,7 @@ class RiskModel:
     def importance(self, top: int = 20) -> DataFrame:
         """Features ranked by the classifier's impurity importance."""
         if self.scorer is None:
-            raise RuntimeError("Model not fitted; call fit() first")
+            raise RuntimeError("train the model before using it")
         ranked = SparkSession.active().createDataFrame(
             list(zip(self.features, self.scorer.importances)), "feature string, importance double"
         )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.codes import POPULATIONS
+from claimlake.functions import expressions as X
 from claimlake.params import Params
 
 
@@ -80,7 +81,7 @@ def cohort_actuals(
     lives: Column = F.count("bene_id") if n_lives is None else F.lit(n_lives)
     return scores.groupBy(*by).agg(
         F.lit(params.benchmark_pmpm).alias("benchmark_pmpm"),
-        F.coalesce(F.round(F.avg("actual_pmpm"), 6), F.lit(0.0)).alias("actual_pmpm"),
+        F.coalesce(X.exact_mean("actual_pmpm"), F.lit(0.0)).alias("actual_pmpm"),
         lives.cast("bigint").alias("n_lives"),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -14,47 +15,49 @@ QUALITY_PASS = "_quality_pass"
 BRONZE_NULL = "_bronze_null_flag"
 
 
-def validate_schema(df: DataFrame, expected: T.StructType, strict: bool = False) -> list[str]:
-    """Missing columns and wrong types; extra columns and nullability are fine."""
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    issues = []
-    for field in expected.fields:
-        found = actual.get(field.name)
-        if found is None:
-            issues.append(f"MISSING column: {field.name} ({field.dataType.simpleString()})")
-        elif found != field.dataType:
-            issues.append(
-                f"TYPE MISMATCH: {field.name} expected {field.dataType.simpleString()}, "
-                f"got {found.simpleString()}"
-            )
-    if strict and issues:
-        raise ValueError("Schema validation failed:\n" + "\n".join(issues))
-    return issues
+@dataclass(frozen=True)
+class Difference:
+    """A declared column that a frame lacks (no type found) or has in another type."""
 
+    column: str
+    declared: T.DataType
+    found: T.DataType | None
 
-def schema_issues(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Schema issues as rows, with how many rows of ``df`` each one touches.
+    def __str__(self) -> str:
+        there = "is absent" if self.found is None else f"is {self.found.simpleString()}"
+        return f"{self.column} {there}, declared {self.declared.simpleString()}"
+
+
+def schema_differences(df: DataFrame, declared: T.StructType) -> list[Difference]:
+    """Where a frame falls short of a schema; more columns and nullability do not count."""
+    found = {f.name: f.dataType for f in df.schema}
+    pairs = [(f, found.get(f.name)) for f in declared]
+    return [Difference(f.name, f.dataType, kind) for f, kind in pairs if kind != f.dataType]
+
+
+def require_schema(df: DataFrame, declared: T.StructType) -> None:
+    if differences := schema_differences(df, declared):
+        raise ValueError("; ".join(map(str, differences)))
+
+
+def schema_issues(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """Schema differences as rows, with how many rows of ``df`` each one touches.
 
     A missing column touches every row; a wrong type touches the rows whose
-    value does not survive a cast to the expected type.
+    value does not survive a cast to the declared type.
     """
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    names, kinds, counts = [], [], []
-    for field in expected.fields:
-        found = actual.get(field.name)
-        if found is None:
-            names.append(field.name), kinds.append("MISSING"), counts.append(F.count(F.lit(1)))
-        elif found != field.dataType:
-            lost = F.col(field.name).try_cast(field.dataType).isNull() & F.col(field.name).isNotNull()
-            names.append(field.name), kinds.append("TYPE MISMATCH"), counts.append(F.count_if(lost))
-    if not names:
-        return df.limit(0).select(
-            F.lit("").alias("column_name"), F.lit("").alias("issue"), F.lit(0).cast("bigint").alias("n_rows")
-        )
-    entries = [
-        F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("issue"), count.alias("n_rows"))
-        for name, kind, count in zip(names, kinds, counts)
-    ]
+
+    def entry(d: Difference) -> Column:
+        if d.found is None:
+            kind, touched = "MISSING", F.count(F.lit(1))
+        else:
+            value = F.col(d.column)
+            kind, touched = "TYPE MISMATCH", F.count_if(value.try_cast(d.declared).isNull() & value.isNotNull())
+        return F.struct(F.lit(d.column).alias("column_name"), F.lit(kind).alias("issue"), touched.alias("n_rows"))
+
+    entries = [entry(d) for d in schema_differences(df, declared)]
+    if not entries:
+        return df.sparkSession.createDataFrame([], "column_name string, issue string, n_rows bigint")
     return df.agg(F.array(*entries).alias("issues")).select(F.inline("issues"))
 
 

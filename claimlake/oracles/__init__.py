@@ -11,8 +11,11 @@ import re
 from functools import cache
 from pathlib import Path
 
-from claimlake.codes import CROSSWALK, DEMOGRAPHIC, BRACKETS, UNMAPPED_LABEL
+from claimlake.codes import BRACKETS, CROSSWALK, DEMOGRAPHIC, FEATURES, TIE_COLUMNS, UNMAPPED_LABEL
 
+# exact_sum(column), with or without a FILTER: the nearest double of an exact decimal sum
+_EXACT = re.compile(r"exact_sum\((\w+)\)((?: FILTER \([^)]*\))?)")
+_TIE = "substr(md5(concat_ws('|', " + ", ".join(f"coalesce({c}::VARCHAR, '')" for c in TIE_COLUMNS) + ")), 1, 16)"
 _HEAD = re.compile(r"^-- (\w+):([^\n]*)$", re.M)
 
 
@@ -39,7 +42,9 @@ def _code_tables() -> dict[str, str]:
 
 
 def _blocks(file: str) -> dict[str, tuple[list[str], str]]:
-    text = (Path(__file__).parent / file).read_text().replace("{unmapped}", UNMAPPED_LABEL)
+    text = (Path(__file__).parent / file).read_text().replace("{unmapped}", UNMAPPED_LABEL).replace("{tie}", _TIE)
+    text = text.replace("{features}", ", ".join(map(_text, FEATURES)))
+    text = _EXACT.sub(r"CAST(CAST(sum(CAST(\1 AS DECIMAL(28, 8)))\2 AS VARCHAR) AS DOUBLE)", text)
     parts = _HEAD.split(text)[1:]
     return {
         name: (needs.replace(",", " ").split(), body.strip())

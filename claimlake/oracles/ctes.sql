@@ -32,8 +32,10 @@ SELECT
     l_extendedprice / 10 * (1 - l_discount) * (1 - l_tax) AS paid_amount,
     ['HMO', 'PPO', 'PFFS', 'SNP'][o_custkey % 4 + 1] AS plan_type,
     CASE WHEN o_custkey % 7 < 3 THEN 1 ELSE 0 END AS intervention_arm
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey, slots
-WHERE o_custkey % 29 <> 0
+FROM lineitem
+JOIN (
+    SELECT o_orderkey, CASE WHEN o_custkey % 29 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey FROM orders
+) ON l_orderkey = o_orderkey, slots
 
 -- raw_claims: keyed_claims
 SELECT * EXCLUDE (_k), claim_id IS NULL OR bene_id IS NULL AS _bronze_null_flag FROM keyed_claims
@@ -74,9 +76,8 @@ SELECT * REPLACE (
 SELECT * EXCLUDE (_rank) FROM (
     SELECT *, row_number() OVER (
         PARTITION BY claim_id, bene_id, service_date
-        ORDER BY paid_amount DESC NULLS LAST, claim_amount DESC NULLS LAST, service_type DESC NULLS LAST,
-                 icd10_primary DESC NULLS LAST, icd10_codes DESC NULLS LAST, provider_specialty DESC NULLS LAST,
-                 allowed_amount DESC NULLS LAST
+        ORDER BY paid_amount DESC NULLS LAST, claim_amount DESC NULLS LAST, allowed_amount DESC NULLS LAST,
+                 {tie} DESC
     ) AS _rank FROM typed
 ) WHERE _rank = 1
 
@@ -179,14 +180,14 @@ SELECT bene_id,
        bool_or(has_diabetes) AS has_diabetes, bool_or(has_ckd) AS has_ckd,
        bool_or(has_cancer) AS has_cancer, bool_or(has_copd) AS has_copd,
        bool_or(has_depression) AS has_depression, bool_or(has_metastatic) AS has_metastatic,
-       round(sum(claim_amount), 8) AS total_claim_amount,
+       exact_sum(claim_amount) AS total_claim_amount,
        count(claim_id) AS total_claims,
        sum(is_inpatient::INTEGER)::BIGINT AS ip_admit_count,
        sum(is_ed_visit::INTEGER)::BIGINT AS ed_visit_count,
        count(DISTINCT service_year * 100 + service_month) FILTER (period = 'pre') AS pre_months,
        count(DISTINCT service_year * 100 + service_month) FILTER (period = 'post') AS post_months,
-       round(sum(claim_amount) FILTER (period = 'pre'), 8) AS pre_total_cost,
-       round(sum(claim_amount) FILTER (period = 'post'), 8) AS post_total_cost
+       exact_sum(claim_amount) FILTER (period = 'pre') AS pre_total_cost,
+       exact_sum(claim_amount) FILTER (period = 'post') AS post_total_cost
 FROM mapped GROUP BY bene_id
 
 -- joined_scores: profile rollup
@@ -216,9 +217,9 @@ FROM joined_scores
 SELECT bene_id, period, intervention_arm,
        count(DISTINCT service_date) AS service_days,
        count(claim_id) AS total_claims,
-       round(sum(claim_amount), 8) AS total_cost,
-       round(sum(allowed_amount), 8) AS total_allowed,
-       round(sum(paid_amount), 8) AS total_paid,
+       exact_sum(claim_amount) AS total_cost,
+       exact_sum(allowed_amount) AS total_allowed,
+       exact_sum(paid_amount) AS total_paid,
        sum(is_inpatient::INTEGER)::BIGINT AS ip_admits,
        sum(is_ed_visit::INTEGER)::BIGINT AS ed_visits,
        sum(is_specialist::INTEGER)::BIGINT AS specialist_visits,
@@ -236,7 +237,7 @@ FROM util_sums
 -- trend_sums: passing
 SELECT service_year, service_month, intervention_arm,
        count(DISTINCT bene_id) AS n_members,
-       round(sum(claim_amount), 4) AS total_cost,
+       exact_sum(claim_amount) AS total_cost,
        sum(is_inpatient::INTEGER)::BIGINT AS ip_admits,
        sum(is_ed_visit::INTEGER)::BIGINT AS ed_visits
 FROM passing GROUP BY service_year, service_month, intervention_arm
@@ -272,10 +273,10 @@ SELECT bene_id,
        sum(is_specialist::INTEGER)::BIGINT AS pre_specialist_visits,
        sum(is_primary_care::INTEGER)::BIGINT AS pre_primary_visits,
        count(DISTINCT service_year * 100 + service_month) AS pre_n_months,
-       round(sum(claim_amount), 8) AS pre_total_cost,
-       round(sum(claim_amount), 8) / count(claim_amount) AS pre_avg_claim,
+       exact_sum(claim_amount) AS pre_total_cost,
+       exact_sum(claim_amount) / count(claim_amount) AS pre_avg_claim,
        max(claim_amount) AS pre_max_claim,
-       round(sum(claim_amount), 8) / greatest(count(DISTINCT service_year * 100 + service_month), 1) AS pre_pmpm,
+       exact_sum(claim_amount) / greatest(count(DISTINCT service_year * 100 + service_month), 1) AS pre_pmpm,
        sum(is_inpatient::INTEGER)::DOUBLE / greatest(count(DISTINCT service_year * 100 + service_month), 1) AS pre_ip_rate,
        sum(is_ed_visit::INTEGER)::DOUBLE / greatest(count(DISTINCT service_year * 100 + service_month), 1) AS pre_ed_rate
 FROM passing WHERE period = 'pre' GROUP BY bene_id
@@ -302,7 +303,7 @@ SELECT s.bene_id, coalesce(s.age, 0) AS age, (s.sex = 'M')::INTEGER AS sex_male,
 FROM scores s LEFT JOIN pre_util u USING (bene_id)
 
 -- cohort: scores
-SELECT 9800::DOUBLE / 12 AS benchmark_pmpm, coalesce(round(avg(actual_pmpm), 6), 0.0::DOUBLE) AS actual_pmpm,
+SELECT 9800::DOUBLE / 12 AS benchmark_pmpm, coalesce(exact_sum(actual_pmpm) / count(actual_pmpm), 0.0::DOUBLE) AS actual_pmpm,
        count(bene_id) AS n_lives
 FROM scores
 
@@ -313,7 +314,7 @@ SELECT s.period AS snapshot, p.bene_id, p.demographic_raf,
        coalesce(max(hcc_interaction_total), 0.0::DOUBLE) AS max_interaction_raf,
        coalesce(sum(is_inpatient::INTEGER), 0)::BIGINT AS pre_ip_admits,
        coalesce(sum(is_ed_visit::INTEGER), 0)::BIGINT AS pre_ed_visits,
-       coalesce(round(sum(claim_amount), 8) / greatest(count(DISTINCT service_year * 100 + service_month), 1), 0.0::DOUBLE) AS pre_pmpm
+       coalesce(exact_sum(claim_amount) / greatest(count(DISTINCT service_year * 100 + service_month), 1), 0.0::DOUBLE) AS pre_pmpm
 FROM profile p CROSS JOIN (VALUES ('pre'), ('post')) s(period)
 LEFT JOIN mapped m ON m.bene_id = p.bene_id AND m.period = s.period
 GROUP BY s.period, p.bene_id, p.demographic_raf
@@ -426,3 +427,22 @@ FROM (
     FROM predicted, (SELECT risk_tier AS label FROM predicted UNION SELECT predicted_tier FROM predicted) l
     GROUP BY label
 )
+
+-- half_years: keyed_claims
+SELECT *, number::VARCHAR AS _batch_id FROM (
+    SELECT * EXCLUDE (_k), (claim_year - 1992) * 2 + CASE WHEN claim_month > 6 THEN 2 ELSE 1 END AS number FROM keyed_claims
+)
+
+-- ml_test: scores
+SELECT bene_id, risk_tier FROM (
+    SELECT bene_id, risk_tier,
+           row_number() OVER (PARTITION BY risk_tier ORDER BY md5(bene_id), bene_id)
+               <= count(*) OVER (PARTITION BY risk_tier) - ceil(count(*) OVER (PARTITION BY risk_tier) * 0.2::DOUBLE) AS is_train
+    FROM scores
+) WHERE NOT is_train
+
+-- score_grid: predicted
+SELECT *, sum(w) OVER (ORDER BY point) AS upto_w, sum(hits) OVER (ORDER BY point) AS upto_hits FROM (
+    SELECT round(prob_high, 2) AS point, count(*)::DOUBLE AS w, count(*) FILTER (risk_tier = 'high')::DOUBLE AS hits
+    FROM predicted GROUP BY 1
+)

@@ -18,8 +18,8 @@ FROM raw_claims
 
 -- bronze_volume_by_month: raw_claims
 SELECT claim_year, claim_month, count(*) AS n_claims, count(DISTINCT bene_id) AS n_members,
-       round(round(sum(claim_amount), 4), 0) AS total_cost_usd,
-       round(round(sum(claim_amount), 4) / count(claim_amount), 2) AS avg_claim_usd
+       round(exact_sum(claim_amount), 0) AS total_cost_usd,
+       round(exact_sum(claim_amount) / count(claim_amount), 2) AS avg_claim_usd
 FROM raw_claims GROUP BY claim_year, claim_month ORDER BY claim_year, claim_month
 
 -- bronze_service_mix: raw_claims
@@ -33,16 +33,15 @@ FROM raw_claims GROUP BY _bronze_null_flag
 -- bronze_batch_guard: batch_two
 SELECT _batch_id, count(*) AS n_rows, count(DISTINCT bene_id) AS n_members FROM batch_two GROUP BY _batch_id
 
--- bronze_read_as_of: batch_one batch_two
-SELECT view, _batch_id, count(*) AS n_rows, round(sum(claim_amount), 2) AS total_amount FROM (
-    SELECT 'version 1' AS view, _batch_id, claim_amount FROM batch_one
-    UNION ALL SELECT 'version 2', _batch_id, claim_amount FROM batch_one
-    UNION ALL SELECT 'version 2', _batch_id, claim_amount FROM batch_two
+-- bronze_read_as_of: half_years
+SELECT view, _batch_id, count(*) AS n_rows, round(exact_sum(claim_amount), 2) AS total_amount FROM (
+    SELECT 'version 2' AS view, _batch_id, claim_amount FROM half_years WHERE number <= 2
+    UNION ALL SELECT 'version 10', _batch_id, claim_amount FROM half_years WHERE number <= 10
     UNION ALL SELECT 'newest per key', _batch_id, claim_amount FROM (
         SELECT _batch_id, claim_amount, row_number() OVER (
             PARTITION BY claim_id, bene_id, service_date
-            ORDER BY _batch_id DESC, claim_amount DESC NULLS LAST, paid_amount DESC NULLS LAST) AS _rank
-        FROM (FROM batch_one UNION ALL FROM batch_two)
+            ORDER BY number DESC NULLS LAST, claim_amount DESC NULLS LAST, paid_amount DESC NULLS LAST) AS _rank
+        FROM half_years
     ) WHERE _rank = 1
 ) GROUP BY view, _batch_id
 
@@ -83,6 +82,20 @@ FROM raw_claims GROUP BY ALL
 -- silver_dedup: deduped
 SELECT * EXCLUDE (_bronze_null_flag) FROM deduped
 
+-- silver_dedup_ties: keyed_claims
+SELECT provider_specialty, n, columns FROM (
+    SELECT provider_specialty, count(*) AS n FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY claim_id, bene_id, TRY_CAST(service_date AS DATE)
+            ORDER BY paid_amount DESC NULLS LAST, claim_amount DESC NULLS LAST, allowed_amount DESC NULLS LAST,
+                     {tie} DESC) AS _rank
+        FROM (
+            FROM keyed_claims
+            UNION ALL SELECT * REPLACE ('twin' AS provider_specialty) FROM keyed_claims WHERE _k % 5 = 0
+        )
+    ) WHERE _rank = 1 GROUP BY provider_specialty
+), (VALUES ('narrow'), ('wide')) v(columns)
+
 -- silver_flagged: flagged
 SELECT claim_id, bene_id, service_date, claim_amount, COLUMNS('^flag_.*'), _quality_pass FROM flagged
 
@@ -124,7 +137,9 @@ SELECT claim_id, bene_id, service_date, array_to_string(hcc_list, ',') AS hcc_li
 FROM mapped
 
 -- hcc_mapped_join_form: mapped
-SELECT claim_id, bene_id, service_date, array_to_string(hcc_list, ',') AS hcc_list, hcc_raf_total FROM mapped
+SELECT claim_id, bene_id, service_date, array_to_string(hcc_list, ',') AS hcc_list, hcc_raf_total, primary_hcc,
+       primary_hcc_desc, hcc_burden_count, hcc_interaction_total
+FROM mapped
 
 -- hcc_primary: mapped
 SELECT icd10_primary, primary_hcc, primary_hcc_desc, count(*) AS n_claims FROM mapped GROUP BY ALL
@@ -155,7 +170,7 @@ FROM mapped
 
 -- hcc_top_conditions: mapped
 SELECT primary_hcc_desc, primary_hcc, count(DISTINCT bene_id) AS n_members, count(claim_id) AS n_claims,
-       round(avg(hcc_raf_total), 3) AS mean_hcc_raf, round(sum(claim_amount), 0) AS total_cost_usd
+       round(avg(hcc_raf_total), 3) AS mean_hcc_raf, round(exact_sum(claim_amount), 0) AS total_cost_usd
 FROM mapped WHERE primary_hcc_desc IS NOT NULL AND primary_hcc_desc <> '{unmapped}'
 GROUP BY primary_hcc_desc, primary_hcc
 ORDER BY n_members DESC, primary_hcc_desc, primary_hcc LIMIT 15
@@ -259,13 +274,13 @@ FROM trends ORDER BY service_year, service_month, intervention_arm
 
 -- view_top_hcc: mapped
 SELECT primary_hcc_desc AS condition, count(DISTINCT bene_id) AS n_members, round(avg(hcc_raf_total), 3) AS mean_hcc_raf,
-       round(sum(claim_amount), 0) AS total_claims_usd
+       round(exact_sum(claim_amount), 0) AS total_claims_usd
 FROM mapped WHERE primary_hcc_desc IS NOT NULL AND _quality_pass
 GROUP BY primary_hcc_desc ORDER BY n_members DESC, condition LIMIT 20
 
 -- view_top_hcc_mapped: mapped
 SELECT primary_hcc_desc AS condition, primary_hcc AS hcc_number, count(DISTINCT bene_id) AS n_members,
-       count(claim_id) AS n_claims, round(avg(hcc_raf_total), 3) AS mean_hcc_raf, round(sum(claim_amount), 0) AS total_cost_usd
+       count(claim_id) AS n_claims, round(avg(hcc_raf_total), 3) AS mean_hcc_raf, round(exact_sum(claim_amount), 0) AS total_cost_usd
 FROM mapped WHERE primary_hcc_desc IS NOT NULL AND primary_hcc_desc <> '{unmapped}' AND _quality_pass
 GROUP BY primary_hcc_desc, primary_hcc ORDER BY n_members DESC, condition, hcc_number LIMIT 20
 
@@ -298,7 +313,7 @@ SELECT state, benchmark_pmpm, round(actual_pmpm, 4) AS actual_pmpm, n_lives, sha
 FROM (
     SELECT *, benchmark_pmpm * n_lives * 12 AS expected, benchmark_pmpm * n_lives * 12 - actual_pmpm * n_lives * 12 AS gross,
            0.5::DOUBLE AS sharing_rate, 0.02::DOUBLE AS msr
-    FROM (SELECT state, 9800::DOUBLE / 12 AS benchmark_pmpm, round(avg(actual_pmpm), 6) AS actual_pmpm, count(bene_id) AS n_lives
+    FROM (SELECT state, 9800::DOUBLE / 12 AS benchmark_pmpm, exact_sum(actual_pmpm) / count(actual_pmpm) AS actual_pmpm, count(bene_id) AS n_lives
           FROM scores GROUP BY state)
 )
 
@@ -346,10 +361,10 @@ FROM (SELECT cohort.*, sharing_rate::DOUBLE AS sharing_rate, msr::DOUBLE AS msr,
       FROM cohort, (VALUES (0.3), (0.5), (0.7)) s(sharing_rate), (VALUES (0.01), (0.02), (0.04)) m(msr))
 
 -- drift_bins: edges
-SELECT feature, (i - 1)::INTEGER AS position, round(edges[i], 6) AS edge FROM edges, unnest(range(1, len(edges) + 1)) AS t(i)
+SELECT feature, (i - 1)::INTEGER AS position, round(edges[i], 4) AS edge FROM edges, unnest(range(1, len(edges) + 1)) AS t(i)
 
 -- drift_histogram: binned
-SELECT feature, bin, round(lower_edge, 6) AS lower_edge, round(upper_edge, 6) AS upper_edge, n_baseline, n_current FROM binned
+SELECT feature, bin, round(lower_edge, 4) AS lower_edge, round(upper_edge, 4) AS upper_edge, n_baseline, n_current FROM binned
 
 -- drift_report: drift
 SELECT * FROM drift ORDER BY psi DESC, feature
@@ -415,3 +430,27 @@ SELECT sum(n)::BIGINT AS n, round(sum(n * gap) / sum(n), 6) AS ece FROM (
     SELECT count(*) AS n, abs(avg((risk_tier = predicted_tier)::INTEGER) - avg(confidence)) AS gap
     FROM predicted GROUP BY least(floor(confidence * 10), 9)
 )
+
+-- ml_predictions: ml_test
+SELECT bene_id, risk_tier, true AS shares_sum_to_one, true AS tier_is_likeliest, true AS cost_is_finite FROM ml_test
+
+-- ml_boosted: ml_test
+SELECT bene_id, risk_tier, true AS shares_sum_to_one, true AS tier_is_likeliest, true AS cost_is_finite FROM ml_test
+
+-- ml_evaluation: ml_test
+SELECT count(*) AS n, true AS beats_majority, true AS auc_above_chance, true AS errors_in_order, true AS r2_in_range,
+       true AS ece_in_range
+FROM ml_test
+
+-- ml_calibrated: score_grid
+SELECT point, w AS n, round(max(least_mean), 6) AS calibrated FROM (
+    SELECT m.point, m.w, f.a, min(f.mean) AS least_mean
+    FROM score_grid m JOIN (
+        SELECT lo.point AS a, hi.point AS b, (hi.upto_hits - lo.upto_hits + lo.hits) / (hi.upto_w - lo.upto_w + lo.w) AS mean
+        FROM score_grid lo JOIN score_grid hi ON lo.point <= hi.point
+    ) f ON f.a <= m.point AND m.point <= f.b
+    GROUP BY m.point, m.w, f.a
+) GROUP BY point, w
+
+-- ml_importance:
+SELECT feature, true AS ranked, true AS sums_to_one, true AS ranks_complete FROM (SELECT unnest([{features}]) AS feature)

@@ -45,6 +45,8 @@ class Params:
     row_share: float = 0.8
     column_share: float = 0.8
     calibration_folds: int = 3
+    #: Decimals of the scores on which calibration is fitted.
+    calibration_digits: int = 4
 
     def today(self) -> Column:
         """The date after which a service date counts as being in the future."""

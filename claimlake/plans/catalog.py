@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlake.codes import CONDITIONS, FEATURES, INTERACTIONS
@@ -23,7 +24,6 @@ from claimlake.operators import (
     scoring,
     validation,
 )
-from claimlake.operators.lineage import materialized
 from claimlake.params import Params
 from claimlake.plans import gold, pipeline, silver, views
 from claimlake.sources import fixtures, schemas
@@ -121,7 +121,7 @@ def bronze_key_nulls(lake: Lake) -> DataFrame:
 
 @query
 def bronze_volume_by_month(lake: Lake) -> DataFrame:
-    return C.volume_by_month(lake.raw_claims())
+    return C.volume_by_month(lake.raw_claims()).orderBy("claim_year", "claim_month")
 
 
 @query
@@ -139,8 +139,9 @@ def bronze_audit(lake: Lake) -> DataFrame:
 
 @query
 def bronze_batch_guard(lake: Lake) -> DataFrame:
-    table = fixtures.first_batch(lake.spark, lake.sf_dir)
-    accepted = merge.only_new_batches(lake.batches(), table)
+    """Both batches arrive; the ledger of the table lists the first."""
+    ledger = fixtures.ledger_of_first_batch(lake.spark, lake.sf_dir)
+    accepted = merge.only_new_batches(lake.batches(), ledger)
     return accepted.groupBy("_batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("bene_id").alias("n_members")
     )
@@ -148,16 +149,17 @@ def bronze_batch_guard(lake: Lake) -> DataFrame:
 
 @query
 def bronze_read_as_of(lake: Lake) -> DataFrame:
-    """Row counts of the appended table at each version, and of newest rows per key."""
-    table = lake.batches().select(*LINE, "paid_amount", "claim_amount", "_batch_id")
+    """Row counts of a table of 14 batches at two versions, and of newest rows per key."""
+    table = fixtures.half_year_batches(lake.spark, lake.sf_dir)
+    table = table.select(*LINE, "paid_amount", "claim_amount", "_batch_id")
     parts = {
-        "version 1": merge.read_as_of(table, "1"),
         "version 2": merge.read_as_of(table, "2"),
+        "version 10": merge.read_as_of(table, "10"),
         "newest per key": merge.latest_per_key(table, LINE),
     }
     rows = [
         df.groupBy("_batch_id")
-        .agg(F.count(F.lit(1)).alias("n_rows"), X.settled_sum("claim_amount", 2).alias("total_amount"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.round(X.exact_sum("claim_amount"), 2).alias("total_amount"))
         .withColumn("view", F.lit(name))
         for name, df in parts.items()
     ]
@@ -212,9 +214,23 @@ def silver_dedup(lake: Lake) -> DataFrame:
     return C.dedup_keep_best(C.cast_claims(lake.raw_claims()), lake.params.dedup_keys).drop(validation.BRONZE_NULL)
 
 
+@query
+def silver_dedup_ties(lake: Lake) -> DataFrame:
+    """Which of two lines of one key and equal amounts stays, for two column lists."""
+    raw = fixtures.with_twins(lake.spark, lake.sf_dir)
+    tagged = validation.tag_null_keys(raw, ("claim_id", "bene_id"))
+    narrow = silver.clean_claims(tagged, lake.params, ("provider_specialty",))
+    wide = silver.clean_claims(tagged, lake.params)
+    counts = [
+        df.groupBy("provider_specialty").agg(F.count(F.lit(1)).alias("n")).withColumn("columns", F.lit(name))
+        for name, df in (("narrow", narrow), ("wide", wide))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 @query
 def silver_flagged(lake: Lake) -> DataFrame:
-    return lake.clean().select(*LINE, "claim_amount", *C.FLAGS, validation.QUALITY_PASS)
+    return lake.clean().select(*LINE, "claim_amount", *C.flags(), validation.QUALITY_PASS)
 
 
 @query
@@ -224,7 +240,7 @@ def silver_quality_summary(lake: Lake) -> DataFrame:
 
 @query
 def silver_flag_breakdown(lake: Lake) -> DataFrame:
-    return validation.flag_breakdown(lake.clean(), C.FLAGS)
+    return validation.flag_breakdown(lake.clean(), C.flags())
 
 
 @query
@@ -270,7 +286,11 @@ def hcc_mapped(lake: Lake) -> DataFrame:
 @query
 def hcc_mapped_join_form(lake: Lake) -> DataFrame:
     lines = rollups.passing(lake.clean("icd10_codes"))
-    return _joined_list(mapping.map_by_join(lines, clinical.crosswalk_frame(lake.spark), list(LINE)))
+    mapped = mapping.map_by_join(lines, clinical.crosswalk_frame(lake.spark), list(LINE)).select(
+        *LINE, "hcc_list", "hcc_raf_total", "primary_hcc", "primary_hcc_desc", "hcc_burden_count",
+        "hcc_interaction_total",
+    )
+    return _joined_list(mapped)
 
 
 @query
@@ -339,7 +359,7 @@ def gold_raf_member_union(lake: Lake) -> DataFrame:
 
 @query
 def gold_tier_summary(lake: Lake) -> DataFrame:
-    return rollups.tier_summary(lake.scores())
+    return rollups.tier_summary(lake.scores()).orderBy(F.desc("mean_raf"), "risk_tier")
 
 
 @query
@@ -349,13 +369,9 @@ def gold_run_summary(lake: Lake) -> DataFrame:
 
 @query
 def gold_table_rows(lake: Lake) -> DataFrame:
-    return pipeline.run_summary(
-        clean_claims=lake.clean(),
-        hcc_mapped_claims=lake.mapped(),
-        member_profile=lake.profile(),
-        utilization_summary=lake.utilization(),
-        monthly_trends=lake.trends(),
-    )
+    """Rows of the Silver and Gold tables, from one pass over the clean claims."""
+    counted = pipeline.table_rows(lake.clean("intervention_arm"))
+    return counted.unionByName(pipeline.run_summary(member_profile=lake.profile()))
 
 
 @query
@@ -365,12 +381,13 @@ def gold_utilization(lake: Lake) -> DataFrame:
 
 @query
 def gold_utilization_by_arm(lake: Lake) -> DataFrame:
-    return rollups.utilization_by_arm(lake.utilization())
+    return rollups.utilization_by_arm(lake.utilization()).orderBy(F.desc("period"), "intervention_arm")
 
 
 @query
 def gold_monthly_trends(lake: Lake) -> DataFrame:
-    return lake.trends().withColumn("pmpm_rolling_3m", F.round("pmpm_rolling_3m", 6))
+    rows = lake.trends().withColumn("pmpm_rolling_3m", F.round("pmpm_rolling_3m", 6))
+    return rows.orderBy("service_year", "service_month", "intervention_arm")
 
 
 @query
@@ -405,7 +422,7 @@ def gold_feature_store_joined(lake: Lake) -> DataFrame:
 
 @query
 def gold_feature_store_by_tier(lake: Lake) -> DataFrame:
-    return features.features_by_tier(lake.store())
+    return features.features_by_tier(lake.store()).orderBy(F.desc("mean_raf"), "risk_tier")
 
 
 # --- Published reports ------------------------------------------------------
@@ -504,7 +521,7 @@ def _drift_counts(lake: Lake) -> DataFrame:
 def drift_bins(lake: Lake) -> DataFrame:
     edges = drift.baseline_edges(_drift_counts(lake), lake.params)
     return edges.select("feature", F.posexplode("edges").alias("position", "edge")).withColumn(
-        "edge", F.round("edge", 6)
+        "edge", F.round("edge", 4)
     )
 
 
@@ -512,7 +529,7 @@ def drift_bins(lake: Lake) -> DataFrame:
 def drift_histogram(lake: Lake) -> DataFrame:
     counts = _drift_counts(lake)
     bins = drift.histogram(counts, drift.baseline_edges(counts, lake.params), lake.params)
-    return bins.withColumns({c: F.round(c, 6) for c in ("lower_edge", "upper_edge")})
+    return bins.withColumns({c: F.round(c, 4) for c in ("lower_edge", "upper_edge")})
 
 
 @query
@@ -535,7 +552,7 @@ def ml_matrix(lake: Lake) -> DataFrame:
 
 @query
 def ml_split(lake: Lake) -> DataFrame:
-    labels = materialized(lake.scores().select("bene_id", "risk_tier"))
+    labels = lake.scores().select("bene_id", "risk_tier")
     return modeling.stratified_split(labels, lake.params)
 
 
@@ -607,23 +624,88 @@ def ml_ece(lake: Lake) -> DataFrame:
 
 
 def _split_store(lake: Lake) -> tuple[DataFrame, DataFrame]:
-    split = modeling.stratified_split(materialized(lake.store()), lake.params)
+    split = modeling.stratified_split(lake.store(), lake.params)
     return split.filter("is_train"), split.filter(~F.col("is_train"))
 
 
+def _checked(predicted: DataFrame) -> DataFrame:
+    """Per member its tier, and what must hold of any prediction."""
+    shares = [F.col(f"prob_{c}") for c in CLASSES]
+    total = shares[0] + shares[1] + shares[2]
+    claimed = F.coalesce(*[F.when(F.col("predicted_tier") == c, F.col(f"prob_{c}")) for c in CLASSES])
+    cost = F.col("predicted_cost")
+    return predicted.select(
+        "bene_id",
+        "risk_tier",
+        (F.abs(total - 1) < 1e-9).alias("shares_sum_to_one"),
+        (claimed == F.greatest(*shares)).alias("tier_is_likeliest"),
+        (~F.isnan(cost) & (F.abs(cost) < float("inf"))).alias("cost_is_finite"),
+    )
+
+
 @query
 def ml_predictions(lake: Lake) -> DataFrame:
+    """The forest's predictions for the test members, reduced to what SQL can state."""
     train, test = _split_store(lake)
-    return modeling.RiskModel(lake.params).fit(train, calibrate=False).predict(test)
+    return _checked(modeling.RiskModel(lake.params).fit(train, calibrate=False).predict(test))
 
 
 @query
-def ml_calibrated(lake: Lake) -> DataFrame:
+def ml_boosted(lake: Lake) -> DataFrame:
+    train, test = _split_store(lake)
+    params = dataclasses.replace(lake.params, n_trees=8, max_depth=4)
+    return _checked(modeling.RiskModel(params, learner="boosted").fit(train, calibrate=False).predict(test))
+
+
+@query
+def ml_evaluation(lake: Lake) -> DataFrame:
+    """Whether the calibrated model's metrics on the test members are what they must be."""
     train, test = _split_store(lake)
-    return modeling.RiskModel(lake.params).fit(train).predict(test)
+    params = dataclasses.replace(lake.params, n_trees=60)
+    predicted = modeling.RiskModel(params).fit(train).predict(test)
+    tiers = test.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"))
+    majority = tiers.agg((F.max("n") / F.sum("n")).alias("majority"))
+    metrics = [
+        scoring.accuracy(predicted),
+        majority,
+        scoring.macro_auc(predicted, CLASSES),
+        scoring.regression_metrics(predicted),
+        scoring.expected_calibration_error(predicted).select("ece"),
+    ]
+    one_row = metrics[0].select(F.struct("*").alias("m0"))
+    for i, metric in enumerate(metrics[1:], 1):
+        one_row = one_row.withColumn(f"m{i}", metric.select(F.struct("*")).scalar())
+    return one_row.select(
+        F.col("m0.n").alias("n"),
+        (F.col("m0.tier_accuracy") > F.col("m1.majority")).alias("beats_majority"),
+        F.col("m2.auc_macro").between(0.5, 1.0).alias("auc_above_chance"),
+        ((F.col("m3.cost_mae") >= 0) & (F.col("m3.cost_rmse") >= F.col("m3.cost_mae"))).alias("errors_in_order"),
+        F.col("m3.cost_r2").between(0.0, 1.0).alias("r2_in_range"),
+        F.col("m4.ece").between(0.0, 1.0).alias("ece_in_range"),
+    )
+
+
+@query
+def ml_calibrated(lake: Lake) -> DataFrame:
+    """Monotone fit of being high-risk over the stand-in's score, on two decimals."""
+    params = dataclasses.replace(lake.params, calibration_digits=2)
+    grid = modeling.calibration_grid(_demo_predictions(lake), "prob_high", F.col("risk_tier") == "high", params)
+    fitted = modeling.fit_calibrator(grid, "calibrated").transform(grid)
+    return fitted.select("point", F.col("w").alias("n"), F.round("calibrated", 6).alias("calibrated"))
 
 
 @query
 def ml_importance(lake: Lake) -> DataFrame:
+    """All features, and whether their importances are ranked and add up to one."""
     train, _ = _split_store(lake)
-    return modeling.RiskModel(lake.params, features=FEATURES).fit(train, calibrate=False).importance()
+    params = dataclasses.replace(lake.params, n_trees=60)
+    model = modeling.RiskModel(params, features=FEATURES).fit(train, calibrate=False)
+    ranked = model.importance(len(FEATURES))
+    in_order = Window.partitionBy().orderBy("rank")
+    everything = Window.partitionBy()
+    return ranked.select(
+        "feature",
+        F.coalesce(F.col("importance") <= F.lag("importance").over(in_order), F.col("rank") == 1).alias("ranked"),
+        (F.abs(F.sum("importance").over(everything) - 1) < 1e-9).alias("sums_to_one"),
+        (F.max("rank").over(everything) == F.count(F.lit(1)).over(everything)).alias("ranks_complete"),
+    )

@@ -9,15 +9,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.operators.rollups import tier_counts
-from claimlake.operators.validation import add_audit_columns, tag_null_keys, validate_schema
+from claimlake.operators.validation import QUALITY_PASS, add_audit_columns, require_schema, schema_differences, tag_null_keys
 from claimlake.params import Params
 from claimlake.plans import gold, silver
 from claimlake.sources import schemas, tables
-from claimlake.sources.files import read_auto
+from claimlake.sources.files import quarantine, read_auto
 
 AUDIT = ("_ingested_at", "_pipeline_layer", "_batch_id")
 
@@ -39,6 +39,10 @@ class TableNames:
     def raw_claims(self) -> str:
         return f"{self.bronze}.raw_claims"
 
+    @property
+    def quarantined(self) -> str:
+        return f"{self.bronze}.malformed_claims"
+
     @property
     def raw_members(self) -> str:
         return f"{self.bronze}.raw_members"
@@ -93,36 +97,65 @@ def run_bronze(
     batch_id = batch_id or new_batch_id()
     claims = read_auto(spark, claims_path, schemas.CLAIMS, strict)
     members = read_auto(spark, members_path, schemas.MEMBERS, strict)
-    issues = validate_schema(claims, schemas.CLAIMS, strict) + validate_schema(members, schemas.MEMBERS, strict)
+    for frame, declared in ((claims, schemas.CLAIMS), (members, schemas.MEMBERS)):
+        if strict:
+            require_schema(frame, declared)
+    issues = [
+        str(d)
+        for frame, declared in ((claims, schemas.CLAIMS), (members, schemas.MEMBERS))
+        for d in schema_differences(frame, declared)
+    ]
 
-    claim_rows = 0
+    claim_rows = malformed = 0
     if not tables.batch_already_ingested(spark, names.raw_claims, batch_id):
-        tagged = tag_null_keys(claims, ("claim_id", "bene_id"))
-        claim_rows = tables.write_layer_table(
-            add_audit_columns(tagged, "bronze", batch_id), names.raw_claims, "append", merge_schema=True
-        )
-    tagged = tag_null_keys(members, ("bene_id",))
+        claim_rows, malformed = _land_claims(spark, claims, batch_id, names)
+        tables.record_batch(spark, names.raw_claims, batch_id, claim_rows)
+    tagged = tag_null_keys(quarantine(members)[0], ("bene_id",))
     member_rows = tables.write_layer_table(add_audit_columns(tagged, "bronze", batch_id), names.raw_members)
     return {
         "batch_id": batch_id,
         "claims_rows": claim_rows,
         "members_rows": member_rows,
+        "malformed_rows": malformed,
         "schema_issues": issues,
         "claims_table": names.raw_claims,
         "members_table": names.raw_members,
     }
 
 
+def _land_claims(spark: SparkSession, claims: DataFrame, batch_id: str, names: TableNames) -> tuple[int, int]:
+    """Append the usable lines; malformed ones, if any, go to the quarantine table.
+
+    Malformed lines are counted while the others land, so the files are read
+    again only if there are some.
+    """
+    counted, seen = claims, None
+    if schemas.CORRUPT in claims.columns:
+        seen = Observation()
+        counted = claims.observe(seen, F.count(schemas.CORRUPT).alias("malformed"))
+    tagged = tag_null_keys(quarantine(counted)[0], ("claim_id", "bene_id"))
+    rows = tables.write_layer_table(
+        add_audit_columns(tagged, "bronze", batch_id), names.raw_claims, "append", merge_schema=True
+    )
+    malformed = int(seen.get["malformed"]) if seen else 0
+    if malformed:
+        # the parser drops columns that nothing asks for, and then finds nothing wrong
+        bad = quarantine(claims)[1].withColumn("_parsed", F.to_json(F.struct(*schemas.CLAIMS.names)))
+        bad = bad.select(schemas.CORRUPT, "_parsed")
+        tables.write_table(add_audit_columns(bad, "bronze", batch_id), names.quarantined, "append")
+    return rows, malformed
+
+
 def run_silver(spark: SparkSession, params: Params, names: TableNames = TableNames(), batch_id: str | None = None) -> dict:
     batch_id = batch_id or new_batch_id()
 
     def write(df: DataFrame, name: str) -> int:
         return tables.write_layer_table(add_audit_columns(df, "silver", batch_id), name)
 
-    raw = _data(spark, names.raw_claims).drop(schemas.CORRUPT)
+    raw = _data(spark, names.raw_claims)
     clean_rows = write(silver.clean_claims(raw, params), names.clean_claims)
     mapped_rows = write(silver.mapped_claims(_data(spark, names.clean_claims)), names.mapped_claims)
-    members = _data(spark, names.raw_members).drop(schemas.CORRUPT)
+    members = _data(spark, names.raw_members)
     member_rows = write(silver.member_profile(members, params), names.member_profile)
     return {
         "clean_claims_rows": clean_rows,
@@ -172,6 +205,26 @@ def run_all(
     }
 
 
+def table_rows(clean: DataFrame) -> DataFrame:
+    """Rows of the tables that follow from the clean claims, without building them.
+
+    Lines are counted per member, period, arm and month first; what is left is
+    one row per such cell, from which every table's size can be read.
+    """
+    month = ("service_year", "service_month")
+    cells = clean.groupBy("bene_id", "period", "intervention_arm", *month).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_if(QUALITY_PASS).alias("n_passing")
+    )
+    used = F.col("n_passing") > 0
+    sizes = cells.agg(
+        F.coalesce(F.sum("n_lines"), F.lit(0)).alias("clean_claims"),
+        F.coalesce(F.sum("n_passing"), F.lit(0)).alias("hcc_mapped_claims"),
+        F.count_distinct(F.when(used, F.struct("bene_id", "period", "intervention_arm"))).alias("utilization_summary"),
+        F.count_distinct(F.when(used, F.struct(*month, "intervention_arm"))).alias("monthly_trends"),
+    )
+    return sizes.unpivot([], sizes.columns, "table_name", "n_rows")
+
+
 def run_summary(**layers: DataFrame) -> DataFrame:
     """Rows per named table, as one frame."""
     counts = [

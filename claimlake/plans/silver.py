@@ -13,10 +13,10 @@ from claimlake.operators.validation import BRONZE_NULL, flag_quality_issues, tag
 from claimlake.params import Params
 
 # Columns that deduplication and the quality rules read.
-CHECKED = ("claim_id", "bene_id", "service_date", "icd10_primary", "claim_amount", "paid_amount")
+CHECKED = ("claim_id", "bene_id", "service_date", "icd10_primary", *C.AMOUNTS)
 
-# Columns with one value per deduplication key, so no use as tie-breakers.
-FOLLOW_FROM_KEYS = ("claim_year", "claim_month", BRONZE_NULL)
+# What decides between lines of one key, whatever the caller goes on to use.
+BEST_FIRST = ("claim_amount", "allowed_amount", "_tie")
 
 
 def clean_claims(raw: DataFrame, params: Params, needed: Sequence[str] | None = None) -> DataFrame:
@@ -25,15 +25,14 @@ def clean_claims(raw: DataFrame, params: Params, needed: Sequence[str] | None =
     ``needed`` names the raw columns the caller goes on to use, beside those
     the checks read; other columns are dropped before the shuffle.
     """
+    raw = raw.withColumn("_tie", C.tie_digest(raw))
     if needed is not None:
-        keep = dict.fromkeys([*CHECKED, *needed, *[c for c in raw.columns if c == BRONZE_NULL]])
+        keep = dict.fromkeys([*CHECKED, *needed, *[c for c in raw.columns if c in (BRONZE_NULL, "_tie")]])
         raw = raw.select(*keep)
     if BRONZE_NULL not in raw.columns:
         raw = tag_null_keys(raw, ("claim_id", "bene_id"))
     typed = C.cast_claims(raw)
-    settled = {*params.dedup_keys, "paid_amount", *FOLLOW_FROM_KEYS}
-    rest = sorted((c for c in raw.columns if c not in settled), key=lambda c: c != "claim_amount")
-    best = C.dedup_keep_best(typed, params.dedup_keys, "paid_amount", rest)
+    best = C.dedup_keep_best(typed, params.dedup_keys, "paid_amount", BEST_FIRST).drop("_tie")
     flagged = flag_quality_issues(best, C.quality_rules(params))
     return C.derive_features(flagged, params)
 

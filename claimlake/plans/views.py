@@ -89,7 +89,7 @@ REPORTS: dict[str, Report] = {
             "condition": "primary_hcc_desc",
             "n_members": MEMBERS,
             "mean_hcc_raf": mean("hcc_raf_total", 3),
-            "total_claims_usd": "round(sum(claim_amount), 0)",
+            "total_claims_usd": "round(cast(sum(cast(claim_amount AS decimal(28,8))) AS double), 0)",
         },
         where="_quality_pass AND primary_hcc_desc IS NOT NULL",
         group=("primary_hcc_desc",),
@@ -104,7 +104,7 @@ REPORTS: dict[str, Report] = {
             "n_members": MEMBERS,
             "n_claims": "count(claim_id)",
             "mean_hcc_raf": mean("hcc_raf_total", 3),
-            "total_cost_usd": "round(sum(claim_amount), 0)",
+            "total_cost_usd": "round(cast(sum(cast(claim_amount AS decimal(28,8))) AS double), 0)",
         },
         where=f"_quality_pass AND primary_hcc_desc <> '{UNMAPPED_LABEL}'",
         group=("primary_hcc_desc", "primary_hcc"),

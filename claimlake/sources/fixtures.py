@@ -52,10 +52,10 @@ def claims(spark: SparkSession, sf_dir: str, with_key: bool = False) -> DataFram
     over all tasks, and the planner can split a skewed key.
     """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
-    joined = lines.join(
-        orders.filter(F.col("o_custkey") % 29 != 0).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    # the next customer takes the lines of every 29th, so some members have no claims
+    holder = F.when(F.col("o_custkey") % 29 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", holder.alias("o_custkey"))
+    joined = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     mix = (F.col("l_partkey") * 31 + F.col("l_suppkey")) % 100
     customer, line = F.col("o_custkey"), F.col("l_linenumber")
@@ -146,3 +146,22 @@ def second_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("_k")
         .withColumn("_batch_id", _batch("2"))
     )
+
+
+def ledger_of_first_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch ledger of a table that holds the first batch: one row, from the order table."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    return orders.agg(F.when(F.count("o_orderkey") >= 0, "1").alias("_batch_id"))
+
+
+def half_year_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All claims, landed half-year by half-year under the numbers 1 to 14."""
+    number = (F.col("claim_year") - 1992) * 2 + F.when(F.col("claim_month") > 6, 2).otherwise(1)
+    return claims(spark, sf_dir).withColumn("_batch_id", number.cast("string"))
+
+
+def with_twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All claims, and for every fifth a twin that differs in its specialty alone."""
+    rows = claims(spark, sf_dir, with_key=True)
+    twins = rows.filter(F.col("_k") % 5 == 0).withColumn("provider_specialty", F.lit("twin"))
+    return rows.unionByName(twins).drop("_k")

@@ -1,11 +1,13 @@
 """Named tables: layout, writes with row counts, guards and upserts.
 
 Tables are Parquet tables of the session's catalog. Row counts come from an
-observation of the write itself, so no data is read twice.
+observation of the write itself. Range layouts sample their input in a job of
+its own; landing tables use a layout that reads it once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,6 +31,12 @@ CLUSTERING: dict[str, tuple[str, ...]] = {
 }
 
 
+#: Tables laid out by size per directory instead of by ranges, so their input is read once.
+LANDED = ("raw_claims",)
+#: Table property that marks a table as append-only, so that its past can be read.
+HISTORY = "claimlake.history"
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -43,14 +51,26 @@ def read_version(
     """A table as it stood earlier; a version wins over a timestamp.
 
     Snapshot tables give their newest snapshot by then, append-only tables
-    the batches up to then.
+    the batches up to then. Other tables keep no history, which is an error.
     """
     table = spark.table(name)
     if "_snapshot" in table.columns:
         return latest_snapshot(table, version, timestamp)
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    if properties.get(HISTORY) != "append":
+        raise ValueError(f"{name} is overwritten as a whole and keeps no earlier versions")
     return read_as_of(table, version, timestamp)
 
 
+def landed(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    """Rows of a directory together, in files of the advised size, sorted inside.
+
+    The rebalancing shuffle merges small directories' rows and splits large
+    ones by measured size, without sampling the input first.
+    """
+    return df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
     """Lay rows out for the write: few files per directory, sorted inside.
 
@@ -73,6 +93,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     merge_schema: bool = False,
+    by_ranges: bool = True,
 ) -> int:
     """Write a table and return the number of rows written.
 
@@ -93,11 +114,15 @@ def write_table(
         if absent and not merge_schema:
             raise ValueError(f"Rows lack columns {list(absent)} of {name}; pass merge_schema=True")
         df = df.withColumns(absent).select(*types)
-    laid_out = clustered(df, partition_by, cluster_by).observe(seen, F.count(F.lit(1)).alias("rows"))
+    new = not table_exists(spark, name)
+    layout = clustered if by_ranges or not partition_by else landed
+    laid_out = layout(df, partition_by, cluster_by).observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = laid_out.write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
+    if mode == "append" and new:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{HISTORY}' = 'append')")
     return int(seen.get["rows"])
 
 
@@ -105,45 +130,102 @@ def write_layer_table(df: DataFrame, name: str, mode: str = "overwrite", merge_s
     """``write_table`` with the layout declared for the table's short name."""
     short = name.rsplit(".", 1)[-1]
     return write_table(
-        df, name, mode, PARTITIONS.get(short, ()), CLUSTERING.get(short, ()), merge_schema
+        df, name, mode, PARTITIONS.get(short, ()), CLUSTERING.get(short, ()), merge_schema, short not in LANDED
     )
 
 
 def write_snapshot(df: DataFrame, name: str, version: int) -> int:
-    """Add a whole new snapshot of a table; earlier ones stay readable."""
+    """Add a whole new snapshot of a table; earlier ones stay readable by version and time."""
     rows = df.withColumn("_snapshot", F.lit(version))
+    if "_ingested_at" not in rows.columns:
+        rows = rows.withColumn("_ingested_at", F.current_timestamp())
     return write_table(rows, name, "append", ["_snapshot"])
 
 
 def replace_partitions(df: DataFrame, name: str) -> None:
-    """Overwrite only the partitions of a table that occur in ``df``."""
-    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        df.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+    """Overwrite only the partitions of a table that occur in ``df``.
+
+    The mode is an option of this write, so other writers of the session keep theirs.
+    """
+    spark = df.sparkSession
+    rows = df.select(*spark.table(name).columns).write.option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy(*partition_columns(spark, name)).mode("overwrite").parquet(_location(spark, name))
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _ledger(name: str) -> str:
+    return f"{name}__batches"
+
+
+def record_batch(spark: SparkSession, name: str, batch_id: str, rows: int) -> None:
+    """Note in the table's ledger that a batch has landed."""
+    entry = spark.range(1).select(
+        F.lit(batch_id).alias("_batch_id"), F.lit(rows).cast("bigint").alias("n_rows"), F.current_timestamp().alias("landed_at")
+    )
+    entry.write.format("parquet").mode("append").saveAsTable(_ledger(name))
 
 
 def batch_already_ingested(spark: SparkSession, name: str, batch_id: str) -> bool:
-    if not table_exists(spark, name):
+    """Whether the ledger, or a table that has none, holds the batch."""
+    known = _ledger(name) if table_exists(spark, _ledger(name)) else name
+    if not table_exists(spark, known):
         return False
-    return not spark.table(name).filter(F.col("_batch_id") == batch_id).limit(1).isEmpty()
+    return not spark.table(known).filter(F.col("_batch_id") == batch_id).limit(1).isEmpty()
 
 
 def upsert_table(spark: SparkSession, updates: DataFrame, name: str, keys: Sequence[str]) -> int:
     """Merge updates into a table, creating it if absent; returns its new size.
 
-    The merged rows go to a staging table first, as Spark cannot overwrite a
-    table it is reading. Updates that repeat a key are refused.
+    A partitioned table keeps its partitions: only those that hold a matched
+    key or receive an update are rewritten, each replaced when its new files are
+    complete. Another table gets a new folder, to which it is switched in one
+    step, so it can be read at any time. Updates that repeat a key are refused.
     """
     if not duplicate_keys(updates, keys).isEmpty():
         raise ValueError(f"Updates repeat a key over {list(keys)}")
     if not table_exists(spark, name):
-        return write_table(updates, name)
-    staging = f"{name}__staging"
-    write_table(merge_upsert(spark.table(name), updates, keys), staging)
-    rows = write_layer_table(spark.table(staging), name)
+        return write_layer_table(updates, name)
+    target, parts = spark.table(name), partition_columns(spark, name)
+    columns = target.columns
+    extra = [c for c in updates.columns if c not in columns]
+    if extra:
+        raise ValueError(f"{name} lacks columns {extra}")
+    if not parts:
+        return _switch_folder(spark, name, merge_upsert(target, updates, keys).select(*columns))
+    staging = f"{name}__staging_{uuid.uuid4().hex}"
+    matched = target.join(updates.select(*keys), list(keys), "left_semi").select(*parts)
+    touched = matched.unionByName(updates.select(*parts)).distinct()
+    same = [target[p].eqNullSafe(touched[p]) for p in parts]
+    old = target.join(touched, same, "left_semi")
+    write_table(merge_upsert(old, updates, keys).select(*columns), staging, partition_by=parts)
+    emptied = touched.exceptAll(spark.table(staging).select(*parts).distinct()).collect()  # partitions, not rows
+    replace_partitions(spark.table(staging), name)
+    for row in emptied:
+        values = ", ".join(f"`{p}` = {_sql_literal(row[p])}" for p in parts)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
     spark.sql(f"DROP TABLE {staging}")
-    return rows
+    return spark.table(name).count()
+
+
+def _sql_literal(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("'", "''") + "'"
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
+
+
+def _switch_folder(spark: SparkSession, name: str, rows: DataFrame) -> int:
+    """Write rows to a new folder beside the table's and point the table to it."""
+    short = name.rsplit(".", 1)[-1]
+    new = f"{_location(spark, name).rsplit('/', 1)[0]}/{short}-{uuid.uuid4().hex}"
+    clustered(rows, (), CLUSTERING.get(short, ())).write.parquet(new)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(name)
+    return spark.table(name).count()

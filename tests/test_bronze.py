@@ -64,6 +64,8 @@ def test_hot_key_spreads_over_files(spark):
 
 def test_batch_guard(spark):
     rows = spark.range(5).withColumn("_batch_id", F.lit("b1"))
+    tables.record_batch(spark, "t_led", "b9", 3)
+    assert tables.batch_already_ingested(spark, "t_led", "b9") and not tables.batch_already_ingested(spark, "t_led", "b1")
     assert not tables.batch_already_ingested(spark, "t_guard", "b1")
     tables.write_table(rows, "t_guard", "append")
     assert tables.batch_already_ingested(spark, "t_guard", "b1")
@@ -129,3 +131,49 @@ def test_partition_overwrite_leaves_others(spark):
     tables.write_table(df, "t_parts", partition_by=["p"])
     tables.replace_partitions(df.filter("p = 1").limit(1), "t_parts")
     assert {r["p"]: r["count"] for r in spark.table("t_parts").groupBy("p").count().collect()} == {0: 5, 1: 1}
+
+
+def test_numeric_order_of_text_versions(spark):
+    rows = spark.createDataFrame([("k", str(b)) for b in (1, 2, 9, 10)] + [("k", None)], "k string, _batch_id string")
+    assert {r["_batch_id"] for r in merge.read_as_of(rows, "2").collect()} == {"1", "2"}
+    assert {r["_batch_id"] for r in merge.read_as_of(rows, 10).collect()} == {"1", "2", "9", "10"}
+    assert [r["_batch_id"] for r in merge.latest_per_key(rows, ["k"]).collect()] == ["10"]
+
+
+def test_versions_need_a_history(spark):
+    tables.write_table(spark.range(3).withColumn("_batch_id", F.lit("2")), "t_overwritten")
+    with pytest.raises(ValueError, match="keeps no earlier versions"):
+        tables.read_version(spark, "t_overwritten", "1")
+
+
+def test_snapshots_by_time(spark):
+    tables.write_snapshot(spark.range(3), "t_snap_time", 1)
+    assert tables.read_version(spark, "t_snap_time", timestamp="2999-01-01").count() == 3
+    assert tables.read_version(spark, "t_snap_time", timestamp="1999-01-01").count() == 0
+
+
+def test_upsert_keeps_the_layout(spark, some_claims):
+    columns = [*schemas.CLAIMS.names]
+    first = some_claims.filter("claim_id IS NOT NULL AND bene_id IS NOT NULL").dropDuplicates(["claim_id"]).select(*columns)
+    tables.upsert_table(spark, first, "raw_claims", ["claim_id"])
+    assert tables.partition_columns(spark, "raw_claims") == ["claim_year", "claim_month"]
+    n, named = spark.table("raw_claims").count(), "t_parted.raw_claims"
+    moved = first.limit(1).withColumns({"claim_year": F.lit(2050), "plan_type": F.lit("moved")})
+    key = moved.first()["claim_id"]
+    alone = first.filter(F.col("claim_id") == key).withColumns({"claim_year": F.lit(2049), "claim_id": F.lit("alone")})
+    assert tables.upsert_table(spark, alone, "raw_claims", ["claim_id"]) == n + 1
+    # the only row of a partition moves to another one
+    assert tables.upsert_table(spark, alone.withColumn("claim_year", F.lit(2051)), "raw_claims", ["claim_id"]) == n + 1
+    assert tables.upsert_table(spark, moved, "raw_claims", ["claim_id"]) == n + 1
+    table = spark.table("raw_claims")
+    assert table.filter("claim_year = 2049").count() == 0 and table.filter("plan_type = 'moved'").count() == 1
+    assert table.select("claim_id").distinct().count() == n + 1 and named
+    tables.write_layer_table(first.limit(2).select(*table.columns), "raw_claims", "append")
+    assert spark.table("raw_claims").count() == n + 3
+
+
+def test_landing_reads_its_input_once(spark, some_claims):
+    laid = tables.landed(some_claims, ("claim_year", "claim_month"), ("bene_id",))
+    text = laid._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
+    assert text.count("rangepartitioning") == some_claims._jdf.queryExecution().executedPlan().toString().count("rangepartitioning")

@@ -25,8 +25,8 @@ def landed(spark, sf_dir):
 
 def test_row_counts(spark, landed):
     _, result = landed
-    assert result["bronze"]["claims_rows"] == 5713 and result["bronze"]["members_rows"] == 150
-    assert result["silver"] == {"clean_claims_rows": 5711, "hcc_mapped_rows": 5325, "member_profile_rows": 150}
+    assert result["bronze"]["claims_rows"] == 6000 and result["bronze"]["members_rows"] == 150
+    assert result["silver"] == {"clean_claims_rows": 5998, "hcc_mapped_rows": 5588, "member_profile_rows": 150}
     assert result["gold"]["raf_rows"] == result["gold"]["feature_rows"] == 150
     assert sum(result["gold"]["tier_counts"].values()) == 150
 
@@ -57,11 +57,22 @@ def test_same_batch_is_not_landed_twice(spark, landed):
         spark, str(base / "claims"), str(base / "members.parquet"), "20240101000000", NAMES
     )
     assert again["claims_rows"] == 0 and again["members_rows"] == 150
-    assert spark.table(NAMES.raw_claims).count() == 5713
+    assert spark.table(NAMES.raw_claims).count() == 6000
     other = pipeline.run_bronze(
         spark, str(base / "claims"), str(base / "members.parquet"), "20240102000000", NAMES
     )
-    assert other["claims_rows"] == 5713 and spark.table(NAMES.raw_claims).count() == 2 * 5713
+    assert other["claims_rows"] == 6000 and spark.table(NAMES.raw_claims).count() == 2 * 6000
+
+
+def test_malformed_lines_go_to_quarantine(spark, sf_dir):
+    base, names = Path(tempfile.mkdtemp(prefix="claimlake-bad-")), TableNames("q_bronze", "q_silver", "q_gold", "q_features")
+    files.write_csv(fixtures.claims(spark, sf_dir).limit(50).coalesce(1), str(base / "claims"))
+    lines = [",".join(schemas.CLAIMS.names), "only,three,fields", "CLM9,BNE9,1999-01-01,notayear,1,lab,I500,I500,01,1.0,1.0,1.0,HMO,0"]
+    (base / "claims" / "late.csv").write_text("\n".join(lines) + "\n")
+    fixtures.members(spark, sf_dir).write.parquet(str(base / "members.parquet"))
+    result = pipeline.run_bronze(spark, str(base / "claims"), str(base / "members.parquet"), "1", names)
+    assert result["claims_rows"] == 50 and result["malformed_rows"] == 2
+    assert spark.table(names.raw_claims).count() == 50 and spark.table(names.quarantined).count() == 2
 
 
 def test_stream_lands_each_file_once(spark, sf_dir):

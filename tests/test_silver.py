@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from claimlake.functions import expressions as X
 from claimlake.operators import claims as C
 from claimlake.operators import members, validation
 from claimlake.params import Params
@@ -81,7 +82,7 @@ def test_nine_flags_and_three_valued_pass(spark):
     verdicts = {r["claim_id"]: r["_quality_pass"] for r in clean.collect()}
     assert verdicts["ok"] is True and verdicts["unknown"] is None and verdicts["z"] is False
     assert tuple(validation.quality_summary(clean).first()) == (10, 1, 8, 1)
-    assert validation.flag_breakdown(clean, C.FLAGS).first()["flag_bronze_null"] == 2
+    assert validation.flag_breakdown(clean, C.flags()).first()["flag_bronze_null"] == 2
 
 
 def test_derived_features(spark):
@@ -117,14 +118,14 @@ def test_member_profile(spark):
 
 def test_schema_validation(spark):
     df = spark.createDataFrame([("a", "1")], "claim_id string, claim_year string")
-    issues = validation.validate_schema(df, schemas.CLAIMS)
-    assert "TYPE MISMATCH: claim_year expected int, got string" in issues
-    assert len(issues) == 13
+    found = validation.schema_differences(df, schemas.CLAIMS)
+    assert "claim_year is string, declared int" in map(str, found)
+    assert len(found) == 13
     try:
-        validation.validate_schema(df, schemas.CLAIMS, strict=True)
-        raise AssertionError("strict validation passed")
+        validation.require_schema(df, schemas.CLAIMS)
+        raise AssertionError("a schema that falls short was accepted")
     except ValueError as error:
-        assert "MISSING column: bene_id" in str(error)
+        assert "bene_id is absent, declared string" in str(error)
     counted = {r["column_name"]: (r["issue"], r["n_rows"]) for r in validation.schema_issues(df, schemas.CLAIMS).collect()}
     assert counted["bene_id"] == ("MISSING", 1) and counted["claim_year"] == ("TYPE MISMATCH", 0)
     assert validation.schema_issues(claim(spark, {}), schemas.CLAIMS).count() == 0
@@ -134,3 +135,30 @@ def test_null_profiles(spark):
     df = spark.createDataFrame([(None, 1), (None, None), ("x", 2)], "a string, b int")
     assert validation.count_nulls(df).first().asDict() == {"a": 2, "b": 1}
     assert {tuple(r) for r in validation.null_profile(df).collect()} == {("a", 2), ("b", 1)}
+
+
+def test_one_winner_of_a_tie_for_every_column_list(spark):
+    same = {"claim_id": "C", "bene_id": "B", "service_date": "1999-01-01", "paid_amount": 10.0}
+    rows = claim(spark, {**same, "service_type": "lab"}).unionByName(claim(spark, {**same, "service_type": "ip_admit"}))
+    lists = [None, (), ("service_type",), ("allowed_amount", "icd10_codes"), ("provider_specialty", "plan_type")]
+    winners = set()
+    for needed in lists:
+        wanted = None if needed is None else (*needed, "service_type")
+        out = silver.clean_claims(rows, PARAMS, wanted)
+        winners.add(out.select("service_type").first()[0])
+        assert out.count() == 1 and "_tie" not in out.columns
+    assert len(winners) == 1
+
+
+def test_sums_do_not_depend_on_the_order_of_addition(spark):
+    amounts = spark.range(2_000_000).select(((F.col("id") * 7919) % 900_000_000 / 100).alias("amount"))
+    totals = {
+        amounts.repartition(n, F.xxhash64("amount", F.lit(n))).agg(X.exact_sum("amount")).first()[0] for n in range(1, 9)
+    }
+    assert len(totals) == 1
+
+
+def test_flags_are_those_of_the_rules():
+    from claimlake.operators.claims import flags, quality_rules
+
+    assert flags() == tuple(quality_rules(PARAMS)) and len(flags()) == 9
