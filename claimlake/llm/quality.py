@@ -1,8 +1,8 @@
 """Line-first cleaning: rules per line, then a verdict on what is left.
 
 Every line with a word is tested for punctuation, navigation and boilerplate;
-lines that fail are removed. A document is rejected when its base measures fail,
-when too little of its text is left, or when too few words are left.
+lines that fail are removed. A document is rejected when its base measures fail
+or when too little of its text is left.
 
 A null text has no words and is rejected; a row with a null id is judged like any
 other, and repeated rows each get the same verdict. A document at a limit
@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from operator import eq
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,15 +53,18 @@ class QualityParams:
     max_symbols_per_word: float = 0.34
     #: or when more than this share of its words end in runs of ! or ?,
     max_shouted: float = 0.34
-    #: or when it has this many menu separators.
+    #: or when it has this many menu separators,
     menu_separators: int = 3
+    #: or when more than this share of its words repeat the word before.
+    max_stuttered: float = 0.34
     #: A document must keep this share of the characters of its words.
     min_kept_share: float = 0.5
 
 
 def line_fault(line: str, params: QualityParams) -> str | None:
     """The first rule that a line with a word fails: punctuation, navigation or boilerplate."""
-    n = len(line.split())
+    words = line.split()
+    n = len(words)
     if sum(map(line.count, SYMBOLS)) > params.max_symbols_per_word * n or (
         n > 2 and len(_SHOUT.findall(line)) > params.max_shouted * n
     ):
@@ -68,7 +72,10 @@ def line_fault(line: str, params: QualityParams) -> str | None:
     if ("|" in line or "»" in line or "›" in line) and len(_MENU.findall(line)) >= params.menu_separators:
         return "navigation"
     low = line.lower()
-    return "boilerplate" if any(phrase in low for phrase in BOILERPLATE) else None
+    if any(phrase in low for phrase in BOILERPLATE):
+        return "boilerplate"
+    stuttered = n > 5 and sum(map(eq, words, words[1:])) > params.max_stuttered * n
+    return "boilerplate" if stuttered else None
 
 
 def repeated_words(words: Sequence[bytes], width: int = 5) -> int:
@@ -112,7 +119,7 @@ def judge(text: str | None, params: QualityParams) -> tuple:
             left.append(line)
     clean = "\n".join(left)
     left_chars = len(clean) - sum(map(clean.count, " \t\n\v\f\r"))
-    lost = left_chars < params.min_kept_share * word_chars or len(clean.split()) < params.min_words
+    lost = left_chars < params.min_kept_share * word_chars
     return (
         *(n_words, word_chars, n_symbols, n_dup, n_repeat, failed, not (failed or lost), len(with_word)),
         *(*faults.values(), left_chars, clean),

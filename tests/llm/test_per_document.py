@@ -105,6 +105,8 @@ def test_base_measures(spark):
         ("Home › News › Sports › About", "navigation"),
         ("© 2020 Example. All rights reserved.", "boilerplate"),
         ("Why? Because!", None),
+        ("Buy buy now now now now this this this this", "boilerplate"),
+        ("It had had no effect on what followed that that day", None),
     ],
 )
 def test_line_rules(line, fault):
