@@ -19,111 +19,76 @@ SCORES, TRENDS, MAPPED = "scores", "trends", "mapped"
 @dataclass(frozen=True)
 class Report:
     source: str
-    columns: Mapping[str, str]
-    where: str = "true"
-    group: tuple[str, ...] = ()
-    order: str = ""
-    limit: int | None = None
+    text: str
 
     def sql(self, table: str) -> str:
-        shown = ", ".join(f"{expression} AS {name}" for name, expression in self.columns.items())
-        text = f"SELECT {shown} FROM {table} WHERE {self.where}"
-        if self.group:
-            text += f" GROUP BY {', '.join(self.group)}"
-        if self.order:
-            text += f" ORDER BY {self.order}"
-        return text if self.limit is None else f"{text} LIMIT {self.limit}"
+        return self.text.replace("{table}", table)
 
 
-def mean(column: str, digits: int) -> str:
-    return f"round(avg({column}), {digits})"
-
-
-def rounded(column: str, digits: int) -> str:
-    return f"round({column}, {digits})"
-
-
-ROWS = "count(*)"
-SHARE = "round(count(*) * 100.0D / sum(count(*)) OVER (), 1)"
-MEMBERS = "count(DISTINCT bene_id)"
-
-_TIER = {"risk_tier": "risk_tier", "n_members": ROWS}
-_TIER_MEANS = {"mean_raf": mean("raf_score", 3), "mean_pmpm": mean("actual_pmpm", 2)}
-_INPATIENT = {"total_ip_admits": "sum(ip_admit_count)"}
-_EMERGENCY = {"total_ed_visits": "sum(ed_visit_count)"}
-_MONTH = {c: c for c in ("service_year", "service_month", "intervention_arm")}
-
 REPORTS: dict[str, Report] = {
     "v_high_risk_summary": Report(
-        SCORES, {**_TIER, **_TIER_MEANS, **_INPATIENT, **_EMERGENCY}, group=("risk_tier",)
+        SCORES,
+        """
+        SELECT risk_tier, count(*) AS n_members, round(avg(raf_score), 3) AS mean_raf,
+               round(avg(actual_pmpm), 2) AS mean_pmpm, sum(ip_admit_count) AS total_ip_admits,
+               sum(ed_visit_count) AS total_ed_visits
+        FROM {table} GROUP BY risk_tier
+        """,
     ),
     "v_high_risk_share": Report(
         SCORES,
-        {
-            **_TIER,
-            "pct_of_population": SHARE,
-            "mean_raf": mean("raf_score", 3),
-            "mean_pmpm_usd": mean("actual_pmpm", 2),
-            "mean_est_cost_usd": mean("estimated_annual_cost", 0),
-            **_INPATIENT,
-            **_EMERGENCY,
-        },
-        group=("risk_tier",),
+        """
+        SELECT risk_tier, count(*) AS n_members,
+               round(count(*) * 100.0D / sum(count(*)) OVER (), 1) AS pct_of_population,
+               round(avg(raf_score), 3) AS mean_raf, round(avg(actual_pmpm), 2) AS mean_pmpm_usd,
+               round(avg(estimated_annual_cost), 0) AS mean_est_cost_usd,
+               sum(ip_admit_count) AS total_ip_admits, sum(ed_visit_count) AS total_ed_visits
+        FROM {table} GROUP BY risk_tier
+        """,
     ),
     "v_cohort_trends": Report(
         TRENDS,
-        {
-            **_MONTH,
-            "n_members": "n_members",
-            "pmpm_cost": rounded("pmpm_cost", 2),
-            "pmpm_3m_avg": rounded("pmpm_rolling_3m", 2),
-            "ip_rate_per_1000": "ip_rate_per_1000",
-            "ed_rate_per_1000": "ed_rate_per_1000",
-            "period": "period",
-        },
-        order=", ".join(_MONTH),
+        """
+        SELECT service_year, service_month, intervention_arm, n_members, round(pmpm_cost, 2) AS pmpm_cost,
+               round(pmpm_rolling_3m, 2) AS pmpm_3m_avg, ip_rate_per_1000, ed_rate_per_1000, period
+        FROM {table} ORDER BY service_year, service_month, intervention_arm
+        """,
     ),
     "v_top_hcc_conditions": Report(
         MAPPED,
-        {
-            "condition": "primary_hcc_desc",
-            "n_members": MEMBERS,
-            "mean_hcc_raf": mean("hcc_raf_total", 3),
-            "total_claims_usd": "round(cast(sum(cast(claim_amount AS decimal(28,8))) AS double), 0)",
-        },
-        where="_quality_pass AND primary_hcc_desc IS NOT NULL",
-        group=("primary_hcc_desc",),
-        order="n_members DESC, condition",
-        limit=20,
+        """
+        SELECT primary_hcc_desc AS condition, count(DISTINCT bene_id) AS n_members,
+               round(avg(hcc_raf_total), 3) AS mean_hcc_raf,
+               round(cast(sum(cast(claim_amount AS decimal(28,8))) AS double), 0) AS total_claims_usd
+        FROM {table} WHERE _quality_pass AND primary_hcc_desc IS NOT NULL
+        GROUP BY primary_hcc_desc ORDER BY n_members DESC, condition LIMIT 20
+        """,
     ),
     "v_top_mapped_conditions": Report(
         MAPPED,
-        {
-            "condition": "primary_hcc_desc",
-            "hcc_number": "primary_hcc",
-            "n_members": MEMBERS,
-            "n_claims": "count(claim_id)",
-            "mean_hcc_raf": mean("hcc_raf_total", 3),
-            "total_cost_usd": "round(cast(sum(cast(claim_amount AS decimal(28,8))) AS double), 0)",
-        },
-        where=f"_quality_pass AND primary_hcc_desc <> '{UNMAPPED_LABEL}'",
-        group=("primary_hcc_desc", "primary_hcc"),
-        order="n_members DESC, condition, hcc_number",
-        limit=20,
+        f"""
+        SELECT primary_hcc_desc AS condition, primary_hcc AS hcc_number, count(DISTINCT bene_id) AS n_members,
+               count(claim_id) AS n_claims, round(avg(hcc_raf_total), 3) AS mean_hcc_raf,
+               round(cast(sum(cast(claim_amount AS decimal(28,8))) AS double), 0) AS total_cost_usd
+        FROM {{table}} WHERE _quality_pass AND primary_hcc_desc <> '{UNMAPPED_LABEL}'
+        GROUP BY primary_hcc_desc, primary_hcc ORDER BY n_members DESC, condition, hcc_number LIMIT 20
+        """,
     ),
     "raf_by_tier": Report(
-        SCORES, {**_TIER, **_TIER_MEANS, **_INPATIENT}, group=("risk_tier",), order="mean_raf DESC, risk_tier"
+        SCORES,
+        """
+        SELECT risk_tier, count(*) AS n_members, round(avg(raf_score), 3) AS mean_raf,
+               round(avg(actual_pmpm), 2) AS mean_pmpm, sum(ip_admit_count) AS total_ip_admits
+        FROM {table} GROUP BY risk_tier ORDER BY mean_raf DESC, risk_tier
+        """,
     ),
     "did_check": Report(
         TRENDS,
-        {
-            "period": "period",
-            "intervention_arm": "intervention_arm",
-            "mean_pmpm": mean("pmpm_cost", 2),
-            "n_months": "count(DISTINCT service_month)",
-        },
-        group=("period", "intervention_arm"),
-        order="period DESC, intervention_arm",
+        """
+        SELECT period, intervention_arm, round(avg(pmpm_cost), 2) AS mean_pmpm,
+               count(DISTINCT service_month) AS n_months
+        FROM {table} GROUP BY period, intervention_arm ORDER BY period DESC, intervention_arm
+        """,
     ),
 }
 
@@ -146,7 +111,7 @@ def create_views(
     for name, report in REPORTS.items():
         if not name.startswith("v_"):
             continue
-        if "bene_id" in report.columns:
+        if "bene_id" in spark.sql(report.sql(tables[report.source])).columns:
             raise ValueError(f"{name} would expose member ids")
         spark.sql(f"CREATE OR REPLACE {kind} {prefix}{name} AS {report.sql(tables[report.source])}")
         created.append(prefix + name)
