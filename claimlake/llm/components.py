@@ -2,46 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import checkpointed
+from claimlake.llm.common import checkpointed, in_few_tasks
+
+
+def _rank(column: str) -> Column:
+    return F.struct(F.xxhash64(column).alias("key"), F.col(column).alias("at"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); nodes of a component share their root.
 
-    In each round a node is merged into the least node next to it, and edges are
-    kept between what is left. The order of nodes is their own in the first round,
-    which settles stars around their least node, and a new hash in each later one,
-    so a chain shrinks by a constant factor however it is laid out. Minima and
-    distinct edges combine in the map tasks; joins on a hub are split by AQE. Loops
-    are dropped, repeated edges count once, no edges give no rows.
+    In each round a node is merged into the first node next to it, in the order of
+    a hash, and edges are kept between what is left. Only nodes that are first
+    beside another stay: a star is one node after two rounds, and a chain shrinks by
+    a constant factor a round however it is laid out. Minima and distinct edges
+    combine in the map tasks; joins on a hub are split by AQE. Loops are dropped,
+    repeated edges count once, no edges give no rows.
     """
     left = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     left, merges = checkpointed(left), []
-    while not left.isEmpty():
-        number = len(merges)
-
-        def rank(column: str):
-            own = F.col(column)
-            return F.struct(own.alias("key"), own.alias("at")) if not number else F.struct(
-                F.xxhash64(F.lit(number), own).alias("key"), own.alias("at")
-            )
-
+    rows = most = left.count()
+    while rows:
         both = left.select("a", "b").unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        best = both.groupBy("a").agg(F.min(rank("b")).alias("best"))
-        merge = checkpointed(best.select(F.col("a").alias("node"), F.least("best", rank("a"))["at"].alias("root")))
+        best = both.groupBy("a").agg(F.min(_rank("b")).alias("best"))
+        best = best.select(F.col("a").alias("node"), F.least("best", _rank("a"))["at"].alias("root"))
+        merge = checkpointed(in_few_tasks(best, 2 * rows))
         merges.append(merge)
         to_a, to_b = (merge.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-        moved = left.join(to_a, "a").join(to_b, "b").where("root_a <> root_b")
-        left = checkpointed(
-            moved.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b")).distinct()
-        )
+        moved = in_few_tasks(left.join(to_a.hint("merge"), "a"), rows)
+        moved = in_few_tasks(moved.join(to_b.hint("merge"), "b"), rows).where("root_a <> root_b")
+        moved = moved.select(F.least("root_a", "root_b").alias("a"), F.greatest("root_a", "root_b").alias("b"))
+        left = checkpointed(in_few_tasks(moved.distinct(), rows))
+        rows = left.count()
     if not merges:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     found = merges[0]
     for merge in merges[1:]:
         later = merge.select(F.col("node").alias("root"), F.col("root").alias("later"))
-        found = found.join(later, "root", "left").select("node", F.coalesce("later", "root").alias("root"))
+        found = in_few_tasks(found.join(later.hint("merge"), "root", "left"), 2 * most)
+        found = found.select("node", F.coalesce("later", "root").alias("root"))
     return checkpointed(found)

@@ -37,6 +37,7 @@ from claimlake.llm.common import (
     BATCH_ROWS,
     broadcast_if_small,
     checkpointed,
+    in_few_tasks,
     text_key,
     text_or_empty,
     word_bytes,
@@ -57,8 +58,8 @@ class SimilarityParams:
     tolerance: float = 1e-8
     small_bucket: int = 32
     block: int = 512
-    #: Words whose hashes a Python worker remembers before it starts afresh.
-    cached_words: int = 800_000
+    #: Words whose hashes a task remembers before it starts afresh.
+    cached_words: int = 150_000
 
     @property
     def permille(self) -> int:
@@ -117,11 +118,6 @@ class MinHasher:
         return (least[: p.values] >> np.uint32(16)).astype("<u2").tobytes(), keys.view(np.int64)
 
 
-@cache
-def shingler_of(width: int, limit: int) -> Shingler:
-    return Shingler(width, limit)
-
-
 @cache
 def hasher_of(params: SimilarityParams) -> MinHasher:
     return MinHasher(params)
@@ -165,17 +161,19 @@ def sketches(docs: DataFrame, params: SimilarityParams, id_column: str, text_col
     source = docs.select(F.col(id_column).alias("id"), *text_key(text), text.alias("t"))
     kinds = (pa.binary(), pa.binary(), pa.list_(pa.int64()))
 
-    def row(text: str) -> tuple:
-        shingles = shingler_of(params.shingle, params.cached_words)(text)
+    def row(shingler: Shingler, text: str) -> tuple:
+        shingles = shingler(text)
         if not len(shingles):
             return None, None, None
         return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), *hasher_of(params)(shingles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(params.shingle, params.cached_words)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
-                made = [pa.array(c, k) for c, k in zip(zip(*map(row, part.column(3).to_pylist())), kinds)]
+                rows = [row(shingler, text) for text in part.column(3).to_pylist()]
+                made = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(3)), *made],
                     names=["id", "k1", "k2", "digest", "values", "band_keys"],
@@ -202,7 +200,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, params: SimilarityParams,
     ).select("w.digest", "d.t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = shingler_of(params.shingle, params.cached_words)
+        shingler = Shingler(params.shingle, params.cached_words)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
@@ -216,12 +214,16 @@ def _matrix(column, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
 
 
+PAIR = "a binary, b binary, n_docs_a long, n_docs_b long"
+PAIR_COLUMNS = ["a", "b", "n_docs_a", "n_docs_b"]
+
+
 def _pruned(params: SimilarityParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 left, right = (_matrix(batch.column(n), "<u2", params.values) for n in ("values_a", "values_b"))
-                yield batch.select(["a", "b"]).take(pa.array(prune(left, right, params)))
+                yield batch.select(PAIR_COLUMNS).take(pa.array(prune(left, right, params)))
 
     return run
 
@@ -237,7 +239,7 @@ def _verified(params: SimilarityParams):
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(at, BATCH_ROWS)
                 pairs = zip(part.column("shingles_a").to_pylist(), part.column("shingles_b").to_pylist())
-                yield part.select(["a", "b"]).filter(pa.array([reaches(*p) for p in pairs], pa.bool_()))
+                yield part.select(PAIR_COLUMNS).filter(pa.array([reaches(*p) for p in pairs], pa.bool_()))
 
     return run
 
@@ -303,8 +305,10 @@ def _compare_blocks(params: SimilarityParams):
             near |= bands[left, band][:, None] == bands[right, band]
         if i == j:
             near = np.triu(near, 1)
-        pairs = np.argwhere(near)
-        pairs = pairs[prune(values[left[pairs[:, 0]]], values[right[pairs[:, 1]]], params)]
+        pairs = np.argwhere(near).astype(np.int32)
+        parts = [pairs[k : k + 20_000] for k in range(0, len(pairs), 20_000)]
+        kept = [p[prune(values[left[p[:, 0]]], values[right[p[:, 1]]], params)] for p in parts]
+        pairs = np.concatenate([pairs[:0], *kept])
         both = _shared_counts([sets[k] for k in left], [sets[k] for k in right], pairs)
         sizes = np.array([len(s) for s in sets], np.int64)
         pairs = np.stack([left[pairs[:, 0]], right[pairs[:, 1]]], axis=1)
@@ -334,7 +338,7 @@ class Join:
     """What the join found: sketches of all rows, and a row per class that has links."""
 
     rows: DataFrame  # id, k1, k2, digest (null without words)
-    linked: DataFrame  # digest, class_id, copy_id, n_links, n_text_links, root, least_id, least_k1, least_k2
+    linked: DataFrame  # digest, class_id, copy_id, n_links, n_text_links, root, first (row of the component)
 
 
 def similar(
@@ -357,44 +361,47 @@ def similar(
     )
     members = classes.select("digest", F.explode("band_keys").alias("band"))
     buckets = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("center")).where("n > 1")
-    placed = checkpointed(members.join(buckets, "band"))
+    placed = checkpointed(members.join(buckets.hint("merge"), "band"))
 
+    # from here on, frames are small: the classes that share a bucket with another
+    n_placed = placed.count()
     large = placed.where(F.col("n") > params.small_bucket)
     groups = components(large.select(F.col("digest").alias("a"), F.col("center").alias("b")))
-    grouped = groups.select(F.col("node").alias("digest"), F.col("root").alias("big_group"))
+    grouped = checkpointed(groups.select(F.col("node").alias("digest"), F.col("root").alias("big_group")))
 
+    # both sides of every join below grow with the data: merge joins, at any size
     small = placed.where(F.col("n") <= params.small_bucket).select("band", "digest")
+    small = in_few_tasks(small.join(grouped.hint("merge"), "digest", "left"), n_placed)
+    sides = [small.select("band", *[F.col(c).alias(f"{n}_{c}") for c in ("digest", "big_group")]) for n in "ab"]
     pairs = (
-        small.select("band", F.col("digest").alias("a"))
-        .join(small.select("band", F.col("digest").alias("b")), "band")
-        .where("a < b")
-        .select("a", "b")
+        in_few_tasks(sides[0].join(sides[1].hint("merge"), "band"), 2 * n_placed)
+        .where("a_digest < b_digest AND coalesce(a_big_group <> b_big_group, true)")
+        .select(F.col("a_digest").alias("a"), F.col("b_digest").alias("b"))
         .distinct()
     )
-    side = {c: grouped.select(F.col("digest").alias(c), F.col("big_group").alias(f"group_{c}")) for c in "ab"}
-    apart = pairs.join(side["a"], "a", "left").join(side["b"], "b", "left")
-    apart = apart.where("group_a IS NULL OR group_b IS NULL OR group_a <> group_b").select("a", "b")
+    pairs = in_few_tasks(pairs, 2 * n_placed)
     for c in "ab":
-        apart = apart.join(classes.select(F.col("digest").alias(c), F.col("values").alias(f"values_{c}")), c)
-    survivors = checkpointed(apart.mapInArrow(_pruned(params), "a binary, b binary"))
+        side = classes.select(F.col("digest").alias(c), *[F.col(n).alias(f"{n}_{c}") for n in ("values", "n_docs")])
+        pairs = in_few_tasks(pairs.join(side.hint("merge"), c), 2 * n_placed)
+    survivors = checkpointed(pairs.mapInArrow(_pruned(params), PAIR))
 
     needed = survivors.select(F.explode(F.array("a", "b")).alias("digest")).unionByName(grouped.select("digest"))
-    wanted = checkpointed(
-        classes.join(needed.distinct(), "digest", "left_semi").select("digest", "least.id", "least.k1", "least.k2")
-    )
+    wanted = classes.join(needed.hint("merge"), "digest", "left_semi").select("digest", "least.id", "least.k1", "least.k2")
+    wanted = checkpointed(in_few_tasks(wanted, n_placed))
     sets = written(_shingle_sets(docs, wanted, params, id_column, text_column), "shingles")
 
     tested = survivors
     for c in "ab":
-        tested = tested.join(sets.select(F.col("digest").alias(c), F.col("shingles").alias(f"shingles_{c}")), c)
-    links = checkpointed(tested.mapInArrow(_verified(params), "a binary, b binary"))
+        side = sets.select(F.col("digest").alias(c), F.col("shingles").alias(f"shingles_{c}"))
+        tested = in_few_tasks(tested.join(side.hint("merge"), c), 8 * n_placed)
+    links = checkpointed(tested.mapInArrow(_verified(params), PAIR))
 
     sizes = grouped.groupBy("big_group").agg(F.ceil(F.count(F.lit(1)) / params.block).cast("int").alias("blocks"))
     blocked = (
-        grouped.join(sizes, "big_group")
+        in_few_tasks(grouped.join(sizes.hint("merge"), "big_group"), n_placed)
+        .join(classes.select("digest", "values", "band_keys", "n_docs").hint("merge"), "digest")
+        .join(sets.hint("merge"), "digest")
         .withColumn("own", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-        .join(classes.select("digest", "values", "band_keys", "n_docs"), "digest")
-        .join(sets, "digest")
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"i": F.least("own", "with"), "j": F.greatest("own", "with")})
     )
@@ -404,36 +411,45 @@ def similar(
         .applyInArrow(_compare_blocks(params), BLOCK_RESULT)
     )
 
-    counts = classes.select("digest", "n_docs")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    single = both.join(counts.withColumnRenamed("digest", "b"), "b").select(
-        F.col("a").alias("digest"), "n_docs", F.lit(1).cast("bigint").alias("n_texts")
+    edges = links.select("a", "b").unionByName(
+        dense.where("other IS NOT NULL").select(F.col("digest").alias("a"), F.col("other").alias("b"))
     )
-    block_counts = dense.where("other IS NULL").select("digest", "n_docs", "n_texts")
-    degrees = (
-        single.unionByName(block_counts)
-        .groupBy("digest")
-        .agg(F.sum("n_docs").alias("other_docs"), F.sum("n_texts").alias("n_text_links"))
-    )
-    edges = links.unionByName(dense.where("other IS NOT NULL").select(F.col("digest").alias("a"), F.col("other").alias("b")))
-    roots = components(edges).withColumnRenamed("node", "digest")
+    roots = components(edges).select(F.col("node").alias("digest"), "root")
+    # what is known of a class comes from four places and meets in one grouping
+    one = F.lit(1).cast("bigint")
+    parts = [
+        classes.select("digest", "least", "n_docs"),
+        roots,
+        links.select(F.col("a").alias("digest"), F.col("n_docs_b").alias("other_docs"), one.alias("text_links")),
+        links.select(F.col("b").alias("digest"), F.col("n_docs_a").alias("other_docs"), one.alias("text_links")),
+        dense.where("other IS NULL").select(
+            "digest", F.col("n_docs").alias("other_docs"), F.col("n_texts").alias("text_links")
+        ),
+    ]
+    known = parts[0]
+    for part in parts[1:]:
+        known = known.unionByName(part, allowMissingColumns=True)
     no_links = F.lit(0).cast("bigint")
-    linked = (
-        classes.select("digest", "least", "n_docs")
-        .join(roots, "digest", "left")
-        .join(degrees, "digest", "left")
+    linked = checkpointed(
+        known.groupBy("digest")
+        .agg(
+            F.max("least").alias("least"),
+            F.max("n_docs").alias("n_docs"),
+            F.max("root").alias("root"),
+            F.coalesce(F.sum("other_docs"), no_links).alias("other_docs"),
+            F.coalesce(F.sum("text_links"), no_links).alias("n_text_links"),
+        )
         .where("n_docs > 1 OR root IS NOT NULL")
         .select(
             "digest",
             F.coalesce("root", "digest").alias("root"),
             "least",
-            (F.col("n_docs") - 1 + F.coalesce("other_docs", no_links)).alias("n_links"),
-            F.coalesce("n_text_links", no_links).alias("n_text_links"),
+            (F.col("n_docs") - 1 + F.col("other_docs")).alias("n_links"),
+            "n_text_links",
         )
     )
-    linked = checkpointed(linked)
     firsts = linked.groupBy("root").agg(F.min("least").alias("first"))
-    named = linked.join(firsts, "root").select(
+    named = in_few_tasks(linked.join(firsts.hint("merge"), "root"), linked.count()).select(
         "digest",
         F.col("first.id").alias("class_id"),
         F.col("least.id").alias("copy_id"),
