@@ -47,7 +47,7 @@ class PackingParams:
     fan_in: int = 16
     carry: int = 16
     #: Words whose ids a Python worker remembers before it starts afresh.
-    cached_words: int = 800_000
+    cached_words: int = 400_000
 
 
 class Encoder:
