@@ -28,8 +28,8 @@ URL_RULES = {
 LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
-def packing_params() -> packing.PackingParams:
-    return packing.PackingParams(f"{TOKENIZERS}/word_bpe_49k.json")
+def packing_params(cached_words: int = 800_000) -> packing.PackingParams:
+    return packing.PackingParams(f"{TOKENIZERS}/word_bpe_49k.json", cached_words=cached_words)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
