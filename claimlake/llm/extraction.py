@@ -4,13 +4,16 @@ Markup is stripped to lines, one per block element, in page order. Lines inside
 menus, headers, footers, sidebars, notices, adverts, forms and comment sections,
 and lines outside an article that consist of links, weigh nothing; so do lines
 outside the article where a page marks one. The weights are summed over sliding
-windows. A surge is where the sums rise above a threshold, the dive where they
-fall to zero; of the stretches between, the heaviest is the main text (within a
-marked article, all of them). Its lines are returned, joined by empty lines.
+windows, which pass over noise. A surge is where the sums rise above a threshold,
+the dive where they fall to zero. The lines between are the main text, all
+stretches in page order, with the lighter parts that stand in the same elements.
+Where articles are marked, all their lines are, but for those of teasers: short
+articles with a line of links beside an article that is none. Lines are joined by
+empty lines.
 
 A null or empty page has an empty text. A null id or url is carried; repeated
-rows give repeated rows; of equally heavy stretches the first is taken; an
-empty table gives no rows. Whole pages are read. Extra columns are ignored.
+rows give repeated rows; an empty table gives no rows. Whole pages are read.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,6 +67,8 @@ class ExtractionParams:
     surge: int = 80
     #: Lines with more than this share of link text weigh nothing outside articles.
     max_link_share: float = 0.6
+    #: An article with a line of links is a teaser if its other lines hold no more characters than this.
+    teaser: int = 300
 
 
 @dataclass
@@ -72,6 +77,7 @@ class Line:
     link_chars: int
     noise: bool
     article: int  # number of the article it is in, 0 for none
+    element: int  # number of the innermost element it is in that must be closed, 0 for none
 
 
 def _is_noise(name: str, attributes: str) -> bool:
@@ -102,21 +108,21 @@ def page_lines(page: str) -> list[Line]:
     lines: list[Line] = []
     parts: list[str] = []
     links = 0
-    # open elements: (name, is noise, article number)
-    stack: list[tuple[str, bool, int]] = []
-    noise, article, articles, link = 0, 0, 0, 0
+    # open elements: (name, is noise, article number, own number)
+    stack: list[tuple[str, bool, int, int]] = []
+    noise, article, articles, link, elements = 0, 0, 0, 0, 0
 
     def close_line() -> None:
         nonlocal links
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append(Line(text, links, noise > 0, article))
+            lines.append(Line(text, links, noise > 0, article, stack[-1][3] if stack else 0))
         parts.clear()
         links = 0
 
     def leave(index: int) -> None:
         nonlocal noise, article
-        for name, was_noise, _ in stack[index:]:
+        for name, was_noise, *_ in stack[index:]:
             noise -= was_noise
         del stack[index:]
         article = stack[-1][2] if stack else 0
@@ -156,55 +162,64 @@ def page_lines(page: str) -> list[Line]:
         if name in LOOSE and not bad:
             continue
         starts = not bad and _is_article(name, attributes)
-        if starts and noise and not any(_is_closed(page, n, tag.start()) for n, b, _ in stack if b):
+        if starts and noise and not any(_is_closed(page, n, tag.start()) for n, b, *_ in stack if b):
             leave(next(i for i, s in enumerate(stack) if s[1]))  # left open by mistake
         if starts and not noise and not article:
             articles += 1
             article = articles
         noise += bad
-        stack.append((name, bad, article))
+        elements += 1
+        stack.append((name, bad, article, elements))
     if at < len(page):
         parts.append(page[at:])
     close_line()
     return lines
 
 
-def main_text(page: str | None, params: ExtractionParams = ExtractionParams()) -> str:
-    lines = page_lines(page or "")
-    marked = any(line.article and not line.noise for line in lines)
-
-    def weight(line: Line) -> int:
-        if line.noise or marked and not line.article:
-            return 0
-        if not line.article and line.link_chars > params.max_link_share * len(line.text):
-            return 0
-        return len(line.text)
-
-    weights = [weight(line) for line in lines]
-    threshold = 0 if marked else params.surge
+def _of_links(line: Line, params: ExtractionParams) -> bool:
+    return line.link_chars > params.max_link_share * len(line.text)
+
+
+def _articles(lines: list[Line], params: ExtractionParams) -> list[Line]:
+    """The lines of marked articles; of teasers only if there is nothing else."""
+    with_links: set[int] = set()
+    chars: dict[int, int] = {}
+    for line in lines:
+        chars.setdefault(line.article, 0)
+        if _of_links(line, params):
+            with_links.add(line.article)
+        else:
+            chars[line.article] += len(line.text)
+    full = {n for n in chars if n not in with_links or chars[n] > params.teaser}
+    return [line for line in lines if not full or line.article in full]
+
+
+def _stretches(lines: list[Line], params: ExtractionParams) -> list[Line]:
+    """The lines between surges and dives, and those that share an element with them."""
+    weights = [0 if _of_links(line, params) else len(line.text) for line in lines]
     sums = [sum(weights[i : i + params.window]) for i in range(len(weights))]
-    stretches, i = [], 0
+    inside, i = set(), 0
     while i < len(sums):
-        if sums[i] > threshold:  # surge
-            end = i
-            while end < len(sums) and sums[end] > 0:  # until the dive
-                end += 1
-            stretches.append((i, end))
-            i = end
+        if sums[i] > params.surge:
+            while i < len(sums) and sums[i] > 0:  # until the dive
+                inside.add(i)
+                i += 1
         else:
             i += 1
-    if not stretches and any(weights):
-        stretches = [(0, len(weights))]  # a page too short to surge
-    if not stretches:
-        return ""
-    # a marked article is one text, however many stretches its notices cut it into
-    groups: dict[int, list[int]] = {}
-    for number, (a, b) in enumerate(stretches):
-        for i in range(a, b):
-            if weights[i]:
-                groups.setdefault(lines[i].article if marked else -1 - number, []).append(i)
-    chosen = max(groups.values(), key=lambda group: sum(weights[i] for i in group))
-    return "\n\n".join(lines[i].text for i in chosen)
+    elements = {lines[i].element for i in inside if weights[i]}
+    # a page too short to surge is one text
+    return [
+        line
+        for i, line in enumerate(lines)
+        if weights[i] and (not inside or i in inside or line.element in elements)
+    ]
+
+
+def main_text(page: str | None, params: ExtractionParams = ExtractionParams()) -> str:
+    lines = [line for line in page_lines(page or "") if not line.noise]
+    marked = [line for line in lines if line.article]
+    chosen = _articles(marked, params) if marked else _stretches(lines, params)
+    return "\n\n".join(line.text for line in chosen)
 
 
 def extract(
