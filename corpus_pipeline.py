@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the boilerplate lines of its source."""
-    cleaned = line_dedup.without_boilerplate(docs, carry=("lang",))
+    """Every document, without the boilerplate lines of its source; copies are for the next stage to find."""
+    cleaned = line_dedup.without_boilerplate(docs, line_dedup.LineDedupParams(copies_once=True), carry=("lang",))
     return cleaned.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*DOCUMENT_COLUMNS)
 
 
