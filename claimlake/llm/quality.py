@@ -1,7 +1,8 @@
 """Line-first cleaning: rules per line, then a verdict on what is left.
 
 Every line with a word is tested for punctuation, navigation and boilerplate;
-lines that fail are removed. A document is rejected when its base measures fail
+lines that fail are removed. A boilerplate phrase fails a short line, and a longer
+one of which the phrases are a fair share; prose that mentions one stays. A document is rejected when its base measures fail
 or when too little of its text is left.
 
 A null text has no words and is rejected; a row with a null id is judged like any
@@ -57,6 +58,10 @@ class QualityParams:
     menu_separators: int = 3
     #: or when more than this share of its words repeat the word before.
     max_stuttered: float = 0.34
+    #: A line with a boilerplate phrase fails up to this many characters,
+    short_line: int = 100
+    #: or when its phrases are more than this share of them.
+    max_phrase_share: float = 0.2
     #: A document must keep this share of the characters of its words.
     min_kept_share: float = 0.5
 
@@ -72,8 +77,11 @@ def line_fault(line: str, params: QualityParams) -> str | None:
     if ("|" in line or "»" in line or "›" in line) and len(_MENU.findall(line)) >= params.menu_separators:
         return "navigation"
     low = line.lower()
-    if any(phrase in low for phrase in BOILERPLATE):
-        return "boilerplate"
+    phrase_chars = sum(len(phrase) * low.count(phrase) for phrase in BOILERPLATE if phrase in low)
+    if phrase_chars:
+        n_chars = len(" ".join(words))
+        if n_chars <= params.short_line or phrase_chars > params.max_phrase_share * n_chars:
+            return "boilerplate"
     stuttered = n > 5 and sum(map(eq, words, words[1:])) > params.max_stuttered * n
     return "boilerplate" if stuttered else None
 
