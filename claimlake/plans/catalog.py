@@ -647,8 +647,7 @@ def _checked(predicted: DataFrame) -> DataFrame:
 def ml_predictions(lake: Lake) -> DataFrame:
     """The forest's predictions for the test members, reduced to what SQL can state."""
     train, test = _split_store(lake)
-    params = dataclasses.replace(lake.params, n_trees=60)
-    return _checked(modeling.RiskModel(params).fit(train, calibrate=False).predict(test))
+    return _checked(modeling.RiskModel(lake.params).fit(train, calibrate=False).predict(test))
 
 
 @query
@@ -662,8 +661,7 @@ def ml_boosted(lake: Lake) -> DataFrame:
 def ml_evaluation(lake: Lake) -> DataFrame:
     """Whether the calibrated model's metrics on the test members are what they must be."""
     train, test = _split_store(lake)
-    params = dataclasses.replace(lake.params, n_trees=60)
-    predicted = modeling.RiskModel(params).fit(train).predict(test)
+    predicted = modeling.RiskModel(lake.params).fit(train).predict(test)
     tiers = test.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("n"))
     majority = tiers.agg((F.max("n") / F.sum("n")).alias("majority"))
     metrics = [
@@ -699,8 +697,7 @@ def ml_calibrated(lake: Lake) -> DataFrame:
 def ml_importance(lake: Lake) -> DataFrame:
     """All features, and whether their importances are ranked and add up to one."""
     train, _ = _split_store(lake)
-    params = dataclasses.replace(lake.params, n_trees=60)
-    model = modeling.RiskModel(params, features=FEATURES).fit(train, calibrate=False)
+    model = modeling.RiskModel(lake.params, features=FEATURES).fit(train, calibrate=False)
     ranked = model.importance(len(FEATURES))
     in_order = Window.partitionBy().orderBy("rank")
     everything = Window.partitionBy()
