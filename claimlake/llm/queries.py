@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import attribution, decontamination, extraction, line_dedup, packing, personal_data, quality, secret_scan, similarity, url_filter
+from claimlake.llm import attribution, decontamination, divergence, extraction, line_dedup, packing, personal_data, quality, secret_scan, similarity, url_filter
 from claimlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -118,6 +122,7 @@ QUERIES: dict[str, Query] = {
         op8_secret_scan,
         op9_jaccard_join,
         op10_html_extraction,
+        op13_source_divergence,
     )
 }
 
@@ -175,5 +180,51 @@ SELECT p.page_id, p.host, p.path, f.rule,
         ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])
         THEN 'block' ELSE 'allow' END) AS verdict
 FROM parsed p LEFT JOIN fits f ON p.page_id = f.page_id
+""",
+    "op13_source_divergence": r"""
+WITH read AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), kept AS (
+    SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM read)
+    GROUP BY lang, term HAVING count(*) >= 10
+), counts AS (
+    SELECT lang, source, term, count(*) AS n
+    FROM (SELECT lang, source, unnest(terms) AS term FROM read) JOIN kept USING (lang, term)
+    GROUP BY lang, source, term
+), sizes AS (
+    SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source
+), groups AS (
+    SELECT DISTINCT lang, source FROM read
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * s.v) AS p
+    FROM groups g JOIN sizes s ON g.lang = s.lang JOIN kept k ON g.lang = k.lang
+        LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+), summed AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY a.lang, a.source, b.source
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), languages AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (w + 2)) // (sum(w) OVER (PARTITION BY lang) + 2 * v) AS q
+    FROM (SELECT lang, term, sum(n) AS w FROM counts GROUP BY lang, term) JOIN sizes USING (lang)
+), terms AS (
+    SELECT s.lang, s.source, 'term' AS part, s.term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+    FROM shares s JOIN languages l ON s.lang = l.lang AND s.term = l.term
+    WHERE s.n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """,
 }
