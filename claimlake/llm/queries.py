@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import attribution, decontamination, divergence, extraction, line_dedup, packing, personal_data, quality, secret_scan, similarity, url_filter
+from claimlake.llm import attribution, decontamination, divergence, extraction, line_dedup, packing, personal_data, quality, secret_scan, similarity, toxicity, url_filter, whitening
 from claimlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,15 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -122,6 +131,8 @@ QUERIES: dict[str, Query] = {
         op8_secret_scan,
         op9_jaccard_join,
         op10_html_extraction,
+        op11_toxicity,
+        op12_embedding_whitening,
         op13_source_divergence,
     )
 }
