@@ -16,8 +16,9 @@ no rows; ties in fit go to the window opened first. Extra columns are ignored.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -46,53 +47,131 @@ class PackingParams:
     open_windows: int = 32
     fan_in: int = 16
     carry: int = 16
-    #: Words whose ids a Python worker remembers before it starts afresh.
-    cached_words: int = 400_000
+    #: Size of the chunks and pieces whose ids a Python worker remembers before it starts afresh.
+    cached_bytes: int = 80 << 20
 
 
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer splits at white space before it merges, so the ids of a text
-    are the ids of its space- or newline-separated chunks in a row; chunks repeat
-    and are remembered.
+    The tokenizer lower-cases, splits into runs of letters, digits and marks and then merges
+    within each, so the ids of a text are those of its pieces in a row. Pieces repeat and
+    are remembered, in ``cached_bytes`` at most beside what the texts at hand need. Those
+    not met before are encoded together: each ends with the one token that carries the end
+    of word. Chunks between spaces with characters beyond plain Latin letters, digits and
+    marks, or with a special token, are left to the tokenizer whole.
     """
 
-    #: A character that is a token of its own; it keeps chunks apart while they are learnt.
-    MARK = "~"
-
-    def __init__(self, path: str, limit: int):
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
-        mark = self._encoded(self.MARK)
-        self.mark = int(mark[0]) if len(mark) == 1 else None
-
-    def _encoded(self, text: str) -> np.ndarray:
-        (got,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+    #: Characters that are dealt with at once.
+    BLOCK = 1 << 20
+    #: Pieces longer than this are not remembered.
+    LONGEST = 64
+    # The pre-tokenization of the vocabulary, for lower-cased text of the plain alphabet.
+    # Lower-casing and composition change nothing else in it, whatever the Unicode version.
+    # Letters come in runs; all else is set apart: contractions, single digits, runs of marks.
+    _MARKS = re.compile(r"[^a-zß-öø-ɏ \n\t\r](?:(?<=')(?:s|t|re|ve|m|ll|d)|(?<![0-9])[^a-zß-öø-ɏ0-9 \n\t\r]*|)")
+    _BEYOND = re.compile(r"[^ -~\n\t\rÀ-ÖØ-öø-įı-ɏ]")
+    _ODD = re.compile(r"(?<![^ \n\t\r])([!-~À-ÖØ-öø-įı-ɏ]*+[^ -~\n\t\rÀ-ÖØ-öø-įı-ɏ][^ \n\t\r]*)")
+    _SPECIAL = re.compile(r"(?<![^ \n\t\r])((?:(?!<\|)[^ \n\t\r])*+<\|[^ \n\t\r]*)")
+
+    def __init__(self, path: str, cached_bytes: int):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.limit, self.held = Tokenizer.from_file(path), cached_bytes, 0
+        # pieces are normalized and split already, so what encodes them only splits at blanks
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = normalizers.Sequence([])
+        bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), bytes_only])
+        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _plain(self, text: str) -> list[str]:
+        return self._MARKS.sub(r" \g<0> ", text.lower()).split()
+
+    def _split(self, text: str) -> list[str]:
+        """Pieces of a text; a chunk for the tokenizer comes whole, with a blank before it."""
+        if "<|" not in text and not self._BEYOND.search(text):
+            return self._plain(text)
+        odd = self._SPECIAL if "<|" in text else self._ODD
+        out: list[str] = []
+        for i, part in enumerate(odd.split(text)):
+            if i % 2:
+                out.append(" " + part)
+            elif odd is self._SPECIAL:
+                for j, rest in enumerate(self._ODD.split(part)):
+                    out += [" " + rest] if j % 2 else self._plain(rest)
+            else:
+                out += self._plain(part)
+        return out
+
+    @staticmethod
+    def _encoded(tokenizer, text: str) -> np.ndarray:
+        (got,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(got.ids, dtype="<u4")
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.known) + len(chunks) > self.limit:
-            self.known.clear()
-        alone = [c for c in chunks if self.mark is None or self.MARK in c]
-        for chunk in alone:
-            self.known[chunk] = self._encoded(chunk).tobytes()
-        together = list(chunks.difference(alone))
-        for i in range(0, len(together), 4096):
-            part = together[i : i + 4096]
-            ids = self._encoded(f" {self.MARK} ".join(part))
-            cuts = np.flatnonzero(ids == self.mark).tolist()
-            for chunk, a, b in zip(part, [-1, *cuts], [*cuts, len(ids)], strict=True):
-                self.known[chunk] = ids[a + 1 : b].tobytes()
+    def _learn(self, missing: Iterable[str]) -> None:
+        pieces = []
+        for piece in missing:
+            if piece[0] == " ":
+                self.known[piece] = self._encoded(self.tokenizer, piece[1:]).tobytes()
+            else:
+                pieces.append(piece)
+        for i in range(0, len(pieces), 1024):
+            part = pieces[i : i + 1024]
+            ids = self._encoded(self.merger, " ".join(part))
+            bounds = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(bounds) != len(part) or bounds[-1] != 4 * len(ids):
+                self.known.update((piece, self._encoded(self.tokenizer, piece).tobytes()) for piece in part)
+                continue
+            data = ids.tobytes()
+            self.known.update(zip(part, map(data.__getitem__, map(slice, [0, *bounds], bounds))))
+
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
+        split = [self._split(text) for text in texts]
+        missing = set().union(*split).difference(self.known)
+        self._learn(missing)
+        known = self.known
+        yield from [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        for piece in missing:
+            if len(piece) > self.LONGEST:
+                del known[piece]
+        # objects and table space of an entry, and four bytes a token
+        self.held += 200 * len(missing) + 5 * sum(map(len, missing))
+        if self.held > self.limit:
+            known.clear()
+            self.held = 0
+
+    def _blocks(self, text: str) -> Iterator[str]:
+        """The text cut at blanks into parts of about a block; a longer chunk stays whole."""
+        start = 0
+        while start < len(text):
+            end = start + self.BLOCK
+            if end < len(text):
+                last = max(text.rfind(blank, start + 1, end) for blank in " \n")
+                end = last if last > 0 else text.find(" ", end)
+            end = len(text) if end < 0 else end
+            yield text[start:end]
+            start = end
+
+    def many(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        waiting, size = [], 0
+        for text in texts:
+            if size + len(text) > self.BLOCK:
+                yield from self._together(waiting)
+                waiting, size = [], 0
+            if len(text) > self.BLOCK:
+                yield b"".join(ids for block in self._blocks(text) for ids in self._together([block]))
+            else:
+                waiting.append(text)
+                size += len(text)
+        yield from self._together(waiting)
 
     def ids(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        distinct = set(chunks)
-        missing = distinct.difference(self.known)
-        if missing:
-            self.learn(missing if len(self.known) + len(missing) <= self.limit else distinct)
-        return b"".join(map(self.known.__getitem__, chunks))
+        return next(self.many([text]))
 
 
 class OpenWindows:
@@ -144,24 +223,25 @@ def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 @cache
-def encoder_of(path: str, limit: int) -> Encoder:
+def encoder_of(path: str, cached_bytes: int) -> Encoder:
     """One per Python worker; what it knows outlasts a task."""
-    return Encoder(path, limit)
+    return Encoder(path, cached_bytes)
 
 
 def _pack_partition(params: PackingParams):
     end = np.asarray([params.end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(params.tokenizer, params.cached_words)
+        encoder = encoder_of(params.tokenizer, params.cached_bytes)
         opened, ready, number, part = OpenWindows(params.window, params.open_windows), [], 0, 0
         for batch in batches:
             if batch.num_rows:
                 part = batch.column(2)[0].as_py()
             for at in range(0, batch.num_rows, BATCH_ROWS):
                 piece_of = batch.slice(at, BATCH_ROWS)
-                for doc, text in zip(piece_of.column(0).to_pylist(), piece_of.column(1).to_pylist()):
-                    ids = encoder.ids(text) + end
+                encoded = encoder.many(piece_of.column(1).to_pylist())
+                for doc, ids in zip(piece_of.column(0).to_pylist(), encoded, strict=True):
+                    ids += end
                     total = len(ids) // 4
                     for start in range(0, total, params.window):
                         length = min(params.window, total - start)

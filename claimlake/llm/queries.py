@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +12,6 @@ from claimlake.llm import attribution, decontamination, divergence, extraction,
 from claimlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: Folder of the public vocabulary files.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 # The pre-tokenization of the byte-level vocabulary.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # The rules of the contract.
@@ -28,13 +26,13 @@ URL_RULES = {
 LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 
-def packing_params(cached_words: int = 800_000) -> packing.PackingParams:
-    return packing.PackingParams(f"{TOKENIZERS}/word_bpe_49k.json", cached_words=cached_words)
+def packing_params(cached_bytes: int = 192 << 20) -> packing.PackingParams:
+    return packing.PackingParams(public_tokenizers.path("word_bpe_49k.json"), cached_bytes=cached_bytes)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document per line, as ``line:tokens`` pairs in page order."""
-    params = attribution.AttributionParams(f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_PATTERN)
+    params = attribution.AttributionParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), BYTE_PATTERN)
     counted = attribution.attribute(table(spark, sf_dir, "documents"), params)
     pairs = F.transform("sections", lambda s: F.concat_ws(":", s["line"], s["n_tokens"]))
     return counted.select(

@@ -1,11 +1,13 @@
 """Attribution, quality, secrets, extraction and packing against plain versions."""
 
 import base64
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from claimlake.llm import attribution, extraction, packing, quality, queries, secret_scan
@@ -15,7 +17,7 @@ TEXTS = [r[1] for r in ROWS]
 
 
 def attribution_params(rule="majority"):
-    return attribution.AttributionParams(f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken", queries.BYTE_PATTERN, rule)
+    return attribution.AttributionParams(public_tokenizers.path("byte_bpe_50k.tiktoken"), queries.BYTE_PATTERN, rule)
 
 
 # --- attribution ------------------------------------------------------------
@@ -224,14 +226,14 @@ def test_pages_of_all_kinds(spark):
 
 
 def packed(spark, rows, **kwargs):
-    params = packing.PackingParams(f"{queries.TOKENIZERS}/word_bpe_49k.json", **kwargs)
+    params = packing.PackingParams(public_tokenizers.path("word_bpe_49k.json"), **kwargs)
     return packing.pack(with_clashes(docs(spark, rows).repartition(5)), params).toPandas()
 
 
 def check_packing(pieces, rows, window):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(f"{queries.TOKENIZERS}/word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     wanted, got = Counter(), Counter()
     for row in rows:
         ids = np.array(tokenizer.encode(row[1] or "", add_special_tokens=False).ids + [1], "<u4")
@@ -250,6 +252,25 @@ def test_every_token_is_packed_once(spark):
     check_packing(packed(spark, ROWS), ROWS, 2048)
 
 
+def test_texts_without_blanks_and_long_chunks(spark):
+    rows = [(1, "汉字" * 20_000, "zh", "a", 1), (2, "Zm9v" * 1_250_000, "en", "a", 1), (3, "“quoted” – naïve café’s ŒUVRE" * 50, "fr", "a", 1)]
+    rows += [(4, "a,b;" * 400_000, "en", "a", 1), (5, "line\n" * 300_000, "en", "a", 1), (6, "x\u200b<|y é " * 99, "fr", "a", 1)]
+    check_packing(packed(spark, rows, cached_bytes=10_000), rows, 2048)
+
+
+def test_encoder_by_the_whole_tokenizer():
+    """Random strings of every kind of character, with a cache that is emptied all the time."""
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(6)
+    tokenizer, encoder = Tokenizer.from_file(path), packing.Encoder(path, 5_000)
+    encoder.BLOCK = 30
+    letters = "ab'strevmld 's 9~<|>éÀß×÷İıǄªºΣς\x0b\x1c\xa0\t\n漢字🙂.,-_ȿɏ\u0301"
+    texts = ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(2_000)]
+    for text, ids in zip(texts, encoder.many(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_leftovers_merge_over_levels(spark):
     rows = [(i, f"{'word ' * (i % 37)}end", "en", "a", 1) for i in range(400)]
     pieces = packed(spark, rows, window=64, open_windows=3, fan_in=2, carry=2)
@@ -260,7 +281,7 @@ def test_leftovers_merge_over_levels(spark):
 def test_chunks_with_the_mark_and_special_tokens():
     from tokenizers import Tokenizer
 
-    path = f"{queries.TOKENIZERS}/word_bpe_49k.json"
+    path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer, encoder = Tokenizer.from_file(path), packing.Encoder(path, 50)
     texts = ["~ a ~ b~~ ~", "it's <|endoftext|> x<|startoftext|>", "a\u0301 \u0301b c\x1cd\xa0e", "ΑΣ ΣΑΣ. İ ﬁ 12 3a 'S", LONG_WORDS]
     for text in texts:
@@ -280,7 +301,7 @@ LONG_WORDS = " ".join(f"w{i}x" for i in range(300))
         lambda d: attribution.attribute(d, attribution_params()),
         quality.judged,
         secret_scan.find_secrets,
-        lambda d: packing.pack(d, packing.PackingParams(f"{queries.TOKENIZERS}/word_bpe_49k.json")),
+        lambda d: packing.pack(d, packing.PackingParams(public_tokenizers.path("word_bpe_49k.json"))),
     ],
 )
 def test_empty_tables_and_other_columns(spark, run):
