@@ -44,8 +44,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document in a sequence."""
-    # workers that ran the stages before hold memory, so fewer words are remembered than in a run alone
-    return packing.pack(docs, queries.packing_params(cached_words=400_000))
+    # workers that ran the stages before hold memory, so less is remembered than in a run alone
+    return packing.pack(docs, queries.packing_params(cached_bytes=80 << 20))
 
 
 STAGES: list[tuple[str, Stage]] = [
