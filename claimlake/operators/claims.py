@@ -51,6 +51,16 @@ def dedup_keep_best(
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def keep_best_with(kept: DataFrame, arrived: DataFrame, keys: Sequence[str], best: str, tie_breakers: Sequence[str]) -> DataFrame:
+    """The best row per key of rows that are best already and rows that came since.
+
+    The order of rows is total, so the best of a key's former best and its new rows is the
+    best of all its rows: what was weighed once need not be read again.
+    """
+    both = kept.unionByName(arrived.select(*kept.columns))
+    return dedup_keep_best(both, keys, best, tie_breakers)
+
+
 def tie_digest(df: DataFrame) -> Column:
     """A digest of the text columns of a claim line, to order lines of equal amounts."""
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TIE_COLUMNS if c in df.columns]

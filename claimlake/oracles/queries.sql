@@ -82,6 +82,24 @@ FROM raw_claims GROUP BY ALL
 -- silver_dedup: deduped
 SELECT * EXCLUDE (_bronze_null_flag) FROM deduped
 
+-- silver_refreshed: batch_one batch_two
+SELECT claim_id, bene_id, service_date, claim_amount, paid_amount, provider_specialty,
+       year(service_date)::INTEGER AS service_year,
+       CASE WHEN claim_amount < 500 THEN 'low' WHEN claim_amount < 5000 THEN 'medium' ELSE 'high' END AS cost_tier,
+       NOT (claim_id IS NULL OR bene_id IS NULL OR claim_amount < 0 OR claim_amount = 0
+            OR claim_amount > 500000 OR service_date > DATE '2001-06-30' OR service_date IS NULL
+            OR icd10_primary IS NULL) AS _quality_pass
+FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY claim_id, bene_id, service_date
+        ORDER BY paid_amount DESC NULLS LAST, claim_amount DESC NULLS LAST, allowed_amount DESC NULLS LAST, {tie} DESC
+    ) AS _rank
+    FROM (
+        SELECT * REPLACE (TRY_CAST(service_date AS DATE) AS service_date)
+        FROM (SELECT * FROM batch_one UNION ALL SELECT * FROM batch_two)
+    )
+) WHERE _rank = 1
+
 -- silver_dedup_ties: keyed_claims
 SELECT provider_specialty, n, columns FROM (
     SELECT provider_specialty, count(*) AS n FROM (

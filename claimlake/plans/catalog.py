@@ -214,6 +214,19 @@ def silver_dedup(lake: Lake) -> DataFrame:
     return C.dedup_keep_best(C.cast_claims(lake.raw_claims()), lake.params.dedup_keys).drop(validation.BRONZE_NULL)
 
 
+@query
+def silver_refreshed(lake: Lake) -> DataFrame:
+    """Cleaned claims of the first batch, brought up to date with the second."""
+    first = fixtures.first_batch(lake.spark, lake.sf_dir).drop("_batch_id")
+    second = fixtures.second_batch(lake.spark, lake.sf_dir).drop("_batch_id")
+    clean = silver.clean_claims(first, lake.params)
+    months = silver.service_months(second)
+    same = [clean[c].eqNullSafe(months[c]) for c in months.columns]
+    fresh = silver.refreshed_claims(clean.join(months, same, "left_semi"), second, lake.params)
+    whole = clean.join(months, same, "left_anti").unionByName(fresh)
+    return whole.select(*LINE, "claim_amount", "paid_amount", "provider_specialty", "service_year", "cost_tier", validation.QUALITY_PASS)
+
+
 @query
 def silver_dedup_ties(lake: Lake) -> DataFrame:
     """Which of two lines of one key and equal amounts stays, for two column lists."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from claimlake.operators import claims as C
 from claimlake.operators import mapping, members
@@ -32,9 +33,35 @@ def clean_claims(raw: DataFrame, params: Params, needed: Sequence[str] | None =
     if BRONZE_NULL not in raw.columns:
         raw = tag_null_keys(raw, ("claim_id", "bene_id"))
     typed = C.cast_claims(raw)
-    best = C.dedup_keep_best(typed, params.dedup_keys, "paid_amount", BEST_FIRST).drop("_tie")
-    flagged = flag_quality_issues(best, C.quality_rules(params))
-    return C.derive_features(flagged, params)
+    return judged(C.dedup_keep_best(typed, params.dedup_keys, "paid_amount", BEST_FIRST).drop("_tie"), params)
+
+
+def judged(best: DataFrame, params: Params) -> DataFrame:
+    """Deduplicated lines with their flags and derived features."""
+    return C.derive_features(flag_quality_issues(best, C.quality_rules(params)), params)
+
+
+def refreshed_claims(clean: DataFrame, arrived: DataFrame, params: Params) -> DataFrame:
+    """``clean``, brought up to date with raw lines that came since.
+
+    ``clean`` needs to hold the partitions of the new lines' service months only: the
+    service date is part of the key, so lines of other months cannot be touched. Equals
+    cleaning all raw lines at once, but for raw columns that ``clean`` lacks, which stay out.
+    """
+    if "service_date" not in params.dedup_keys:
+        raise ValueError("lines of a key may lie in any month; clean all of them")
+    if BRONZE_NULL not in arrived.columns:
+        arrived = tag_null_keys(arrived, ("claim_id", "bene_id"))
+    typed = C.cast_claims(arrived.withColumn("_tie", C.tie_digest(arrived)))
+    former = clean.select(*[c for c in typed.columns if c in clean.columns], C.tie_digest(clean).alias("_tie"))
+    best = C.keep_best_with(former, typed, params.dedup_keys, "paid_amount", BEST_FIRST).drop("_tie")
+    return judged(best, params)
+
+
+def service_months(arrived: DataFrame) -> DataFrame:
+    """The partitions that raw lines belong to, NULL where the date cannot be read."""
+    dates = C.cast_claims(arrived.select("service_date"))
+    return dates.select(F.col("claim_year").alias("service_year"), F.col("claim_month").alias("service_month")).distinct()
 
 
 def mapped_claims(clean: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.operators.merge import duplicate_keys, latest_snapshot, merge_upsert, read_as_of
@@ -42,6 +43,8 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """The table as it is now: files that other sessions wrote or replaced are listed anew."""
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
@@ -86,6 +89,14 @@ def clustered(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Seque
     return df.repartitionByRange(*[F.col(c) for c in columns], spread).sortWithinPartitions(*columns)
 
 
+def observed(seen: Observation, name: str) -> int | None:
+    """A number observed during a write; None where the optimizer left the observed part out."""
+    try:
+        return int(seen.get[name])
+    except Py4JJavaError:
+        return None
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -123,7 +134,7 @@ def write_table(
     writer.saveAsTable(name)
     if mode == "append" and new:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{HISTORY}' = 'append')")
-    return int(seen.get["rows"])
+    return observed(seen, "rows") or 0
 
 
 def write_layer_table(df: DataFrame, name: str, mode: str = "overwrite", merge_schema: bool = False) -> int:
@@ -158,24 +169,114 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _ledger(name: str) -> str:
+# --- batches ----------------------------------------------------------------
+
+STARTED_BATCH, LANDED_BATCH = "started", "landed"
+
+
+def ledger_name(name: str) -> str:
     return f"{name}__batches"
 
 
-def record_batch(spark: SparkSession, name: str, batch_id: str, rows: int) -> None:
-    """Note in the table's ledger that a batch has landed."""
-    entry = spark.range(1).select(
-        F.lit(batch_id).alias("_batch_id"), F.lit(rows).cast("bigint").alias("n_rows"), F.current_timestamp().alias("landed_at")
+def record_batches(
+    spark: SparkSession, name: str, batch_ids: Sequence[str], rows: int | None = None, status: str = LANDED_BATCH
+) -> None:
+    """Note in the table's ledger that batches are being written, or have landed."""
+    if not batch_ids:
+        return
+    entries = spark.createDataFrame([(b,) for b in batch_ids], "_batch_id string").coalesce(1)
+    noted = entries.withColumns(
+        {"n_rows": F.lit(rows).cast("bigint"), "noted_at": F.current_timestamp(), "status": F.lit(status)}
+    )
+    noted.write.format("parquet").mode("append").saveAsTable(ledger_name(name))
+
+
+def record_batch(spark: SparkSession, name: str, batch_id: str, rows: int | None, status: str = LANDED_BATCH) -> None:
+    record_batches(spark, name, [batch_id], rows, status)
+
+
+def landed_batches(spark: SparkSession, name: str) -> list[str] | None:
+    """The batches whose rows are all there, by the ledger; None for a table without one."""
+    ledger = batch_ledger(spark, name)
+    if ledger is None:
+        return None
+    return [r["_batch_id"] for r in ledger.filter(F.col("status") == LANDED_BATCH).orderBy("_batch_id").collect()]
+
+
+def batch_ledger(spark: SparkSession, name: str) -> DataFrame | None:
+    """One row per batch of a table, ``status`` the furthest it came; None without a ledger."""
+    if not table_exists(spark, ledger_name(name)):
+        return None
+    notes = read_table(spark, ledger_name(name))
+    landed = F.max(F.col("status") == LANDED_BATCH)
+    return notes.groupBy("_batch_id").agg(
+        F.max("n_rows").alias("n_rows"), F.when(landed, LANDED_BATCH).otherwise(STARTED_BATCH).alias("status")
     )
-    entry.write.format("parquet").mode("append").saveAsTable(_ledger(name))
+
+
+def batch_status(spark: SparkSession, name: str, batch_id: str) -> str | None:
+    """How far a batch came, by the ledger or, for a table that has none, by its rows."""
+    ledger = batch_ledger(spark, name)
+    if ledger is not None:
+        found = ledger.filter(F.col("_batch_id") == batch_id).select("status").first()
+        return found["status"] if found else None
+    if not table_exists(spark, name):
+        return None
+    there = not spark.table(name).filter(F.col("_batch_id") == batch_id).limit(1).isEmpty()
+    return LANDED_BATCH if there else None
 
 
 def batch_already_ingested(spark: SparkSession, name: str, batch_id: str) -> bool:
-    """Whether the ledger, or a table that has none, holds the batch."""
-    known = _ledger(name) if table_exists(spark, _ledger(name)) else name
-    if not table_exists(spark, known):
-        return False
-    return not spark.table(known).filter(F.col("_batch_id") == batch_id).limit(1).isEmpty()
+    return batch_status(spark, name, batch_id) == LANDED_BATCH
+
+
+def remove_batch(spark: SparkSession, name: str, batch_id: str) -> None:
+    """Take out what an unfinished write of a batch left behind; only its partitions are rewritten."""
+    if not table_exists(spark, name):
+        return
+    table, parts = read_table(spark, name), partition_columns(spark, name)
+    left = table.filter(F.col("_batch_id") == batch_id)
+    if left.limit(1).isEmpty():
+        return
+    others = table.filter(~F.col("_batch_id").eqNullSafe(F.lit(batch_id)))
+    if not parts:
+        _switch_folder(spark, name, others)
+        return
+    touched = left.select(*parts).distinct().collect()  # partitions, not rows
+    refresh_partitions(spark, name, others.filter(in_partitions(parts, touched)), touched)
+
+
+def in_partitions(parts: Sequence[str], rows: Sequence[Row]) -> Column:
+    """Whether a row lies in one of the listed partitions; reaches the scan as a partition filter."""
+    listed = F.lit(False)
+    for row in rows:
+        same = F.lit(True)
+        for part in parts:
+            same = same & F.col(part).eqNullSafe(F.lit(row[part]))
+        listed = listed | same
+    return listed
+
+
+def refresh_partitions(spark: SparkSession, name: str, rows: DataFrame, touched: Sequence[Row]) -> int:
+    """Replace the listed partitions by ``rows``, which may be read from the table itself.
+
+    New files are complete before old ones go. A listed partition that gets no rows is dropped.
+    Returns the number of rows written.
+    """
+    parts = partition_columns(spark, name)
+    staging = f"{name}__staging_{uuid.uuid4().hex}"
+    short = name.rsplit(".", 1)[-1]
+    written = write_table(rows, staging, partition_by=parts, cluster_by=CLUSTERING.get(short, ()))
+    filled = {tuple(r) for r in spark.table(staging).select(*parts).distinct().collect()}
+    if filled:
+        replace_partitions(spark.table(staging), name)
+    for row in touched:
+        if tuple(row[p] for p in parts) not in filled:
+            values = ", ".join(f"`{p}` = {_sql_literal(row[p])}" for p in parts)
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
+    spark.sql(f"DROP TABLE {staging}")
+    spark.catalog.refreshTable(name)
+    return written
 
 
 def upsert_table(spark: SparkSession, updates: DataFrame, name: str, keys: Sequence[str]) -> int:
@@ -197,18 +298,10 @@ def upsert_table(spark: SparkSession, updates: DataFrame, name: str, keys: Seque
         raise ValueError(f"{name} lacks columns {extra}")
     if not parts:
         return _switch_folder(spark, name, merge_upsert(target, updates, keys).select(*columns))
-    staging = f"{name}__staging_{uuid.uuid4().hex}"
     matched = target.join(updates.select(*keys), list(keys), "left_semi").select(*parts)
-    touched = matched.unionByName(updates.select(*parts)).distinct()
-    same = [target[p].eqNullSafe(touched[p]) for p in parts]
-    old = target.join(touched, same, "left_semi")
-    write_table(merge_upsert(old, updates, keys).select(*columns), staging, partition_by=parts)
-    emptied = touched.exceptAll(spark.table(staging).select(*parts).distinct()).collect()  # partitions, not rows
-    replace_partitions(spark.table(staging), name)
-    for row in emptied:
-        values = ", ".join(f"`{p}` = {_sql_literal(row[p])}" for p in parts)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({values})")
-    spark.sql(f"DROP TABLE {staging}")
+    touched = matched.unionByName(updates.select(*parts)).distinct().collect()  # partitions, not rows
+    old = target.filter(in_partitions(parts, touched))
+    refresh_partitions(spark, name, merge_upsert(old, updates, keys).select(*columns), touched)
     return spark.table(name).count()
 
 

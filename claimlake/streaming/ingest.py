@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from claimlake.operators.validation import add_audit_columns, tag_null_keys
+from claimlake.plans.pipeline import TableNames, land_claims
 from claimlake.sources.schemas import CLAIMS, CORRUPT, with_corrupt
 
 
@@ -48,3 +49,35 @@ def ingest_new_files(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def land_stream(
+    spark: SparkSession,
+    landing: str,
+    checkpoint: str | None = None,
+    names: TableNames = TableNames(),
+    stream: str = "claims",
+) -> StreamingQuery:
+    """Land the claim files that arrived since the last run in the Bronze table, exactly once.
+
+    Every micro-batch is a batch of the table's ledger, named by the stream and its number.
+    A number is given again after a failure, with the same files, so a batch that had
+    landed is skipped and one that had only started is taken out and landed again.
+    Silver sees it when it is complete.
+    """
+    names.create_schemas(spark)
+    lines = (
+        spark.readStream.format("csv")
+        .option("header", True)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(with_corrupt(CLAIMS))
+        .load(landing)
+    )
+    return (
+        lines.writeStream.foreachBatch(
+            lambda batch, number: land_claims(batch.sparkSession, batch, f"{stream}-{number:012d}", names)
+        )
+        .option("checkpointLocation", checkpoint or checkpoint_dir(spark, f"bronze_{stream}"))
+        .trigger(availableNow=True)
+        .start()
+    )
