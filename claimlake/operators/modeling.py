@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlake.codes import FEATURES, LEAK_FREE_FEATURES
+from claimlake.operators import explain
 from claimlake.params import Params
+from claimlake.sources.shared import new_path
 
 LABEL, COST, KEY = "risk_tier", "estimated_annual_cost", "bene_id"
 
@@ -233,6 +235,29 @@ class RiskModel:
             *kept, "predicted_tier", "predicted_cost", "confidence", *shares
         )
 
+    def attribution(self, store: DataFrame) -> DataFrame:
+        """Key, output, feature, contribution: what each feature adds to a member's raw scores.
+
+        Outputs are the classes, before calibration, and the cost. With ``(bias)`` the parts
+        of an output add up to its score: the class probability of a forest, the margin of a
+        boosted learner, the predicted cost.
+        """
+        if self.scorer is None:
+            raise RuntimeError("train the model before using it")
+        matrix, spark = self._assemble(store).select(KEY, "features"), store.sparkSession
+        forest = self.learner == "forest"
+        learners = [(m, list(self.classes) if forest else [c]) for m, c in zip(self.scorer.models, self.classes)]
+        parts = []
+        for model, outputs in [*learners, (self.regressor, [COST])]:
+            leaves = explain.leaf_contributions(explain.tree_nodes(spark, model), self.params.max_depth)
+            path = new_path(spark, "leaves")
+            leaves.write.parquet(path)
+            reached = model.setLeafCol("leaves").transform(matrix)
+            model.setLeafCol("")
+            kept = spark.read.parquet(path)
+            parts.append(explain.contributions(reached, kept, KEY, "leaves", self.features, outputs))
+        return reduce(DataFrame.unionByName, parts)
+
     def importance(self, top: int = 20) -> DataFrame:
         """Features ranked by the classifier's impurity importance."""
         if self.scorer is None:

@@ -446,3 +446,15 @@ SELECT *, sum(w) OVER (ORDER BY point) AS upto_w, sum(hits) OVER (ORDER BY point
     SELECT round(prob_high, 2) AS point, count(*)::DOUBLE AS w, count(*) FILTER (risk_tier = 'high')::DOUBLE AS hits
     FROM predicted GROUP BY 1
 )
+
+-- matrix: store
+SELECT bene_id, risk_tier, age::DOUBLE AS age, coalesce(sex_male, 0)::DOUBLE AS sex_male, dual_eligible::DOUBLE AS dual_eligible,
+       demographic_raf, age_bracket::DOUBLE AS age_bracket, max_hcc_burden::DOUBLE AS max_hcc_burden, max_hcc_raf, max_interaction_raf,
+       has_chf::DOUBLE AS has_chf, has_afib::DOUBLE AS has_afib, has_diabetes::DOUBLE AS has_diabetes, has_ckd::DOUBLE AS has_ckd,
+       has_cancer::DOUBLE AS has_cancer, has_copd::DOUBLE AS has_copd, has_depression::DOUBLE AS has_depression,
+       has_metastatic::DOUBLE AS has_metastatic, pre_ip_admits::DOUBLE AS pre_ip_admits, pre_ed_visits::DOUBLE AS pre_ed_visits,
+       pre_specialist_visits::DOUBLE AS pre_specialist_visits, pre_primary_visits::DOUBLE AS pre_primary_visits,
+       pre_n_months::DOUBLE AS pre_n_months, pre_total_cost, pre_avg_claim, pre_max_claim, pre_pmpm, pre_ip_rate, pre_ed_rate,
+       raf_score, estimated_annual_cost, actual_pmpm, log_pre_pmpm,
+       log_estimated_cost, log_pre_total_cost
+FROM store

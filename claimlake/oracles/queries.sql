@@ -254,6 +254,73 @@ FROM att
 SELECT intervention_arm, count(*) AS n_months, round(regr_slope(pmpm_cost, service_year * 12 + service_month), 4) AS pmpm_slope
 FROM trends WHERE period = 'pre' GROUP BY intervention_arm
 
+-- gold_parallel_trends: trends
+SELECT n_control, n_treated, round(slope_control, 5) AS slope_control, round(slope_treated, 5) AS slope_treated,
+       round(slope_treated - slope_control, 5) AS interaction, round(standard_error, 5) AS standard_error,
+       n_control + n_treated - 4 AS degrees_of_freedom,
+       round((slope_treated - slope_control) / standard_error, 5) AS t_value
+FROM (
+    SELECT *, sqrt((syy_c - slope_control * sxy_c + syy_t - slope_treated * sxy_t) / (n_control + n_treated - 4)
+                   * (1 / sxx_c + 1 / sxx_t)) AS standard_error
+    FROM (
+        SELECT count(*) FILTER (intervention_arm = 0) AS n_control, count(*) FILTER (intervention_arm = 1) AS n_treated,
+               regr_slope(pmpm_cost, t) FILTER (intervention_arm = 0) AS slope_control,
+               regr_slope(pmpm_cost, t) FILTER (intervention_arm = 1) AS slope_treated,
+               regr_sxx(pmpm_cost, t) FILTER (intervention_arm = 0) AS sxx_c,
+               regr_sxx(pmpm_cost, t) FILTER (intervention_arm = 1) AS sxx_t,
+               regr_sxy(pmpm_cost, t) FILTER (intervention_arm = 0) AS sxy_c,
+               regr_sxy(pmpm_cost, t) FILTER (intervention_arm = 1) AS sxy_t,
+               regr_syy(pmpm_cost, t) FILTER (intervention_arm = 0) AS syy_c,
+               regr_syy(pmpm_cost, t) FILTER (intervention_arm = 1) AS syy_t
+        FROM (SELECT *, service_year * 12 + service_month AS t FROM trends WHERE period = 'pre')
+    )
+)
+
+-- gold_event_study: trends
+SELECT service_year, service_month, period, (month - first_post)::INTEGER AS event_month,
+       round(difference, 6) AS difference, round(difference - reference, 6) AS effect
+FROM (
+    SELECT *, min(month) FILTER (period = 'post') OVER () AS first_post,
+           max_by(difference, month) FILTER (period = 'pre' AND difference IS NOT NULL) OVER () AS reference
+    FROM (
+        SELECT service_year, service_month, period, service_year * 12 + service_month AS month,
+               max(pmpm_cost) FILTER (intervention_arm = 1) - max(pmpm_cost) FILTER (intervention_arm = 0) AS difference
+        FROM trends GROUP BY service_year, service_month, period
+    )
+)
+
+-- hcc_co_occurrence: mapped
+SELECT * FROM (
+WITH owned AS (
+    SELECT DISTINCT bene_id, unnest(hcc_list) AS item FROM mapped
+), size AS (
+    SELECT count(DISTINCT bene_id) AS n_members FROM mapped
+), singles AS (
+    SELECT item, count(*) AS n FROM owned GROUP BY item
+)
+SELECT a.item AS item_a, b.item AS item_b, count(*) AS n_both, any_value(sa.n) AS n_a, any_value(sb.n) AS n_b,
+       round(count(*) / any_value(n_members), 6) AS support,
+       round(count(*) / any_value(sa.n), 6) AS confidence_ab, round(count(*) / any_value(sb.n), 6) AS confidence_ba,
+       round(count(*) * any_value(n_members) / (any_value(sa.n) * any_value(sb.n)), 6) AS lift
+FROM owned a JOIN owned b ON a.bene_id = b.bene_id AND a.item < b.item
+     JOIN singles sa ON sa.item = a.item JOIN singles sb ON sb.item = b.item, size
+GROUP BY a.item, b.item
+HAVING count(*) >= 0.01::DOUBLE * any_value(n_members)
+)
+
+-- ml_correlations: matrix
+SELECT * FROM (
+WITH long AS (
+    SELECT bene_id, feature, value FROM (UNPIVOT (SELECT * EXCLUDE (risk_tier) FROM matrix) ON COLUMNS(* EXCLUDE (bene_id)) INTO NAME feature VALUE value)
+), placed AS (
+    SELECT *, list_position([{features}], feature) AS place FROM long
+)
+SELECT a.feature AS feature_a, b.feature AS feature_b, count(*) AS n,
+       CASE WHEN stddev_pop(a.value) > 0 AND stddev_pop(b.value) > 0 THEN round(corr(a.value, b.value), 6) END AS correlation
+FROM placed a JOIN placed b ON a.bene_id = b.bene_id AND a.place < b.place
+GROUP BY a.feature, b.feature
+)
+
 -- gold_pre_utilization: pre_util
 SELECT * FROM pre_util
 
@@ -395,17 +462,10 @@ SELECT CASE WHEN count(*) FILTER (status = 'CRITICAL') > 0 THEN 'CRITICAL'
        coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (status <> 'STABLE'), '') AS alert_features
 FROM drift
 
--- ml_matrix: store
-SELECT bene_id, risk_tier, age::DOUBLE AS age, coalesce(sex_male, 0)::DOUBLE AS sex_male, dual_eligible::DOUBLE AS dual_eligible,
-       demographic_raf, age_bracket::DOUBLE AS age_bracket, max_hcc_burden::DOUBLE AS max_hcc_burden, max_hcc_raf, max_interaction_raf,
-       has_chf::DOUBLE AS has_chf, has_afib::DOUBLE AS has_afib, has_diabetes::DOUBLE AS has_diabetes, has_ckd::DOUBLE AS has_ckd,
-       has_cancer::DOUBLE AS has_cancer, has_copd::DOUBLE AS has_copd, has_depression::DOUBLE AS has_depression,
-       has_metastatic::DOUBLE AS has_metastatic, pre_ip_admits::DOUBLE AS pre_ip_admits, pre_ed_visits::DOUBLE AS pre_ed_visits,
-       pre_specialist_visits::DOUBLE AS pre_specialist_visits, pre_primary_visits::DOUBLE AS pre_primary_visits,
-       pre_n_months::DOUBLE AS pre_n_months, pre_total_cost, pre_avg_claim, pre_max_claim, pre_pmpm, pre_ip_rate, pre_ed_rate,
-       raf_score, estimated_annual_cost, actual_pmpm, round(log_pre_pmpm, 6) AS log_pre_pmpm,
-       round(log_estimated_cost, 6) AS log_estimated_cost, round(log_pre_total_cost, 6) AS log_pre_total_cost
-FROM store
+-- ml_matrix: matrix
+SELECT * REPLACE (round(log_pre_pmpm, 6) AS log_pre_pmpm, round(log_estimated_cost, 6) AS log_estimated_cost,
+                  round(log_pre_total_cost, 6) AS log_pre_total_cost)
+FROM matrix
 
 -- ml_split: scores
 SELECT bene_id, risk_tier,
@@ -470,5 +530,34 @@ SELECT point, w AS n, round(max(least_mean), 6) AS calibrated FROM (
     GROUP BY m.point, m.w, f.a
 ) GROUP BY point, w
 
+-- ml_permutation_importance: matrix
+SELECT * FROM (
+WITH long AS (
+    SELECT bene_id, feature, value FROM (UNPIVOT (SELECT * EXCLUDE (risk_tier) FROM matrix) ON COLUMNS(* EXCLUDE (bene_id)) INTO NAME feature VALUE value)
+), swapped AS (
+    SELECT bene_id, feature, coalesce(
+        lead(value) OVER (PARTITION BY feature, substr(md5(bene_id), 1, 2) ORDER BY md5(feature || '|' || bene_id), bene_id),
+        first_value(value) OVER (PARTITION BY feature, substr(md5(bene_id), 1, 2) ORDER BY md5(feature || '|' || bene_id), bene_id)) AS value
+    FROM long
+), scored AS (
+    SELECT s.feature, m.risk_tier,
+           m.demographic_raf + m.max_hcc_raf + m.max_interaction_raf + m.pre_ed_visits * 0.02::DOUBLE AS own,
+           CASE WHEN feature = 'demographic_raf' THEN value ELSE m.demographic_raf END
+           + CASE WHEN feature = 'max_hcc_raf' THEN value ELSE m.max_hcc_raf END
+           + CASE WHEN feature = 'max_interaction_raf' THEN value ELSE m.max_interaction_raf END
+           + CASE WHEN feature = 'pre_ed_visits' THEN value ELSE m.pre_ed_visits END * 0.02::DOUBLE AS other
+    FROM matrix m JOIN swapped s USING (bene_id)
+), hits AS (
+    SELECT feature,
+           avg((risk_tier = CASE WHEN own >= 2.0::DOUBLE THEN 'high' WHEN own >= 1.2::DOUBLE THEN 'moderate' ELSE 'low' END)::INTEGER) AS score,
+           avg((risk_tier = CASE WHEN other >= 2.0::DOUBLE THEN 'high' WHEN other >= 1.2::DOUBLE THEN 'moderate' ELSE 'low' END)::INTEGER) AS permuted
+    FROM scored GROUP BY feature
+)
+SELECT feature, round(score, 6) AS score, round(permuted, 6) AS permuted_score, round(score - permuted, 6) AS importance FROM hits
+)
+
+-- ml_attribution: ml_test
+SELECT bene_id, risk_tier, 4::BIGINT AS n_outputs, true AS adds_up FROM ml_test
+
 -- ml_importance:
 SELECT feature, true AS ranked, true AS sums_to_one, true AS ranks_complete FROM (SELECT unnest([{features}]) AS feature)

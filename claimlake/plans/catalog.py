@@ -12,8 +12,10 @@ from claimlake.codes import CONDITIONS, FEATURES, INTERACTIONS
 from claimlake.functions import clinical
 from claimlake.functions import expressions as X
 from claimlake.operators import (
+    association,
     claims as C,
     drift,
+    explain,
     features,
     mapping,
     members,
@@ -414,6 +416,31 @@ def gold_pre_trend_slopes(lake: Lake) -> DataFrame:
     return rollups.pre_trend_slopes(lake.trends())
 
 
+def _rounded(df: DataFrame, digits: int) -> DataFrame:
+    doubles = [f for f, kind in df.dtypes if kind == "double"]
+    return df.withColumns({f: F.round(f, digits) for f in doubles})
+
+
+@query
+def gold_parallel_trends(lake: Lake) -> DataFrame:
+    return _rounded(association.parallel_trends(lake.trends()), 5)
+
+
+@query
+def gold_event_study(lake: Lake) -> DataFrame:
+    return _rounded(association.event_study(lake.trends()), 6)
+
+
+@query
+def hcc_co_occurrence(lake: Lake) -> DataFrame:
+    return _rounded(association.co_occurrence(lake.mapped()), 6)
+
+
+@query
+def ml_correlations(lake: Lake) -> DataFrame:
+    return _rounded(association.correlations(modeling.feature_matrix(lake.store()), FEATURES), 6)
+
+
 @query
 def gold_pre_utilization(lake: Lake) -> DataFrame:
     return lake.pre_utilization()
@@ -706,6 +733,37 @@ def ml_calibrated(lake: Lake) -> DataFrame:
     return fitted.select("point", F.col("w").alias("n"), F.round("calibrated", 6).alias("calibrated"))
 
 
+def _arithmetic_model(matrix: DataFrame, params: Params) -> DataFrame:
+    """A stand-in model over the matrix: a tier from plain arithmetic on a few features."""
+    score = F.col("demographic_raf") + F.col("max_hcc_raf") + F.col("max_interaction_raf") + F.col("pre_ed_visits") * 0.02
+    return matrix.withColumn("predicted_tier", X.risk_tier(score, params))
+
+
+@query
+def ml_permutation_importance(lake: Lake) -> DataFrame:
+    """What the stand-in model loses when each of the features is exchanged between members."""
+    ranked = explain.permutation_importance(
+        modeling.feature_matrix(lake.store()), FEATURES, lambda df: _arithmetic_model(df, lake.params),
+        F.col("predicted_tier") == F.col("risk_tier"), "bene_id",
+    )
+    return _rounded(ranked, 6)
+
+
+@query
+def ml_attribution(lake: Lake) -> DataFrame:
+    """Per test member, whether the features' parts add up to each of the model's scores."""
+    train, test = _split_store(lake)
+    model = modeling.RiskModel(lake.params).fit(train, calibrate=False)
+    sums = model.attribution(test).groupBy("bene_id").agg(
+        F.count_distinct("output").alias("n_outputs"),
+        *[F.sum(F.when(F.col("output") == o, F.col("contribution"))).alias(f"_{o}") for o in (*CLASSES, modeling.COST)],
+    )
+    close = F.abs(F.col("predicted_cost") - F.col(f"_{modeling.COST}")) < 1e-6 * (1 + F.abs("predicted_cost"))
+    for c in CLASSES:
+        close = close & (F.abs(F.col(f"prob_{c}") - F.col(f"_{c}")) < 1e-9)
+    return model.predict(test).join(sums, "bene_id").select("bene_id", "risk_tier", "n_outputs", close.alias("adds_up"))
+
+
 @query
 def ml_importance(lake: Lake) -> DataFrame:
     """All features, and whether their importances are ranked and add up to one."""
