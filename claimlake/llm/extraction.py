@@ -8,8 +8,12 @@ windows, which pass over noise. A surge is where the sums rise above a threshold
 the dive where they fall to zero. The lines between are the main text, all
 stretches in page order, with the lighter parts that stand in the same elements.
 Where articles are marked, all their lines are, but for those of teasers: short
-articles with a line of links beside an article that is none. Lines are joined by
-empty lines.
+articles with a line of links beside an article that is none. A paragraph that is a
+link belongs to the text it stands in; a list of links does not. Titles inside a header,
+the article's own included, are headers. Lines are joined by empty lines.
+
+Class names are weak evidence: see ``_is_noise``. Tags are found and elements matched in
+one pass each, so work grows with the page, however it is nested or broken.
 
 A null or empty page has an empty text. A null id or url is carried; repeated
 rows give repeated rows; an empty table gives no rows. Whole pages are read.
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +52,9 @@ NOISE_NAMES = re.compile(
     r"masthead|toolbar|pagination|pager|login|search|alert|skip)(?:$|[\s_-])",
     re.I,
 )
+COMMENT_NAMES = re.compile(r"(?:^|[\s_-])(?:comments?|respond|replies|disqus)(?:$|[\s_-])", re.I)
+#: Class names that say what a text is about or how it is filed, not what it is in the page.
+FILING_NAMES = re.compile(r"(?<!\S)(?:category|cat|tag|topic|section|post|type|format|status|author)-\S*", re.I)
 NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
@@ -57,6 +65,13 @@ _TAG = re.compile(
     r"|<[!?][^>]*>",
     re.I | re.S,
 )
+#: The same without regard to quotation marks, for pages that leave one open.
+_BARE_TAG = re.compile(
+    rf"<!--.*?(?:-->|$)|<(?P<raw>{'|'.join(RAW)})\b(?:[^>]*/>|[^>]*>.*?(?:</(?P=raw)\s*>|$))"
+    r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>[^>]*)>|<[!?][^>]*>",
+    re.I | re.S,
+)
+_TAG_START = re.compile(r"</?[a-z]", re.I)
 _ATTRIBUTE = re.compile(r"([a-z:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -78,17 +93,101 @@ class Line:
     noise: bool
     article: int  # number of the article it is in, 0 for none
     element: int  # number of the innermost element it is in that must be closed, 0 for none
+    paragraph: bool  # whether it is a p element
+
+
+@dataclass
+class Element:
+    """An element of a page that is not loose, with what it holds."""
+
+    name: str
+    attributes: str
+    start: int  # number of its tag
+    chars_before: int
+    end: int = 0  # number of the tag that ends it
+    closed: bool = False  # whether that is its own end tag
+    chars: int = 0
+
+
+def tags(page: str) -> Iterator[re.Match]:
+    """The tags, comments and raw elements of a page, in one pass.
+
+    A tag that no ``>`` ends outside quotation marks means that a mark was left open; from
+    there on marks are not looked at.
+    """
+    at, last, pattern = 0, page.rfind(">"), _TAG
+    while 0 <= (at := page.find("<", at)):
+        if at > last and not page.startswith("<!--", at):
+            return
+        found = pattern.match(page, at)
+        if found is None and pattern is _TAG and _TAG_START.match(page, at):
+            pattern = _BARE_TAG
+            found = pattern.match(page, at)
+        if found is None:
+            at += 1
+        else:
+            yield found
+            at = found.end()
+
+
+def _pushed(tag: re.Match) -> str:
+    """The name of an element that has to be closed, if the tag starts or ends one."""
+    name = (tag["name"] or "").lower()
+    return "" if name in VOID or name in LOOSE and name not in ("li", "td", "p", "span") else name
+
+
+def elements_of(page: str, found: list[re.Match]) -> tuple[dict[int, Element], int]:
+    """Elements by the number of their tag, and the characters of text on the page."""
+    elements: dict[int, Element] = {}
+    stack: list[Element] = []
+    open_names: Counter = Counter()
+    chars, at = 0, 0
+    for number, tag in enumerate(found):
+        chars += len(page[at : tag.start()].strip())
+        at = tag.end()
+        name = _pushed(tag)
+        if not name:
+            continue
+        if not tag["close"]:
+            if not ((tag["attrs"] or "").endswith("/") and name not in BLOCKS):
+                stack.append(Element(name, tag["attrs"] or "", number, chars))
+                elements[number] = stack[-1]
+                open_names[name] += 1
+        elif open_names[name]:  # an end tag without a start ends nothing
+            while True:
+                ended = stack.pop()
+                open_names[ended.name] -= 1
+                ended.end, ended.chars = number, chars - ended.chars_before
+                if ended.name == name:
+                    ended.closed = True
+                    break
+    chars += len(page[at:].strip())
+    for left in stack:
+        left.end, left.chars = len(found), chars - left.chars_before
+    return elements, chars
 
 
-def _is_noise(name: str, attributes: str) -> bool:
+def _is_noise(element: Element, chars: int) -> bool:
+    """Whether an element is no part of the text, by its name, its role or its class.
+
+    Class names tell little: those that file a text under something do not count, articles
+    are not judged by them, nor are elements that hold most of the page. Reader comments are
+    comments whatever their length.
+    """
+    name, attributes = element.name, element.attributes
     if name in NOISE:
         return True
     if not attributes or name in ("html", "body", "main"):
         return False
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    named = f"{found.get('class', '')} {found.get('id', '')}"
-    hidden = "hidden" in attributes.lower().split() or found.get("aria-hidden") == "true"
-    return hidden or found.get("role", "").lower() in NOISE_ROLES or bool(NOISE_NAMES.search(named))
+    if "hidden" in attributes.lower().split() or found.get("aria-hidden") == "true":
+        return True
+    if found.get("role", "").lower() in NOISE_ROLES:
+        return True
+    named = FILING_NAMES.sub(" ", f"{found.get('class', '')} {found.get('id', '')}")
+    if COMMENT_NAMES.search(named):
+        return True
+    return name != "article" and 2 * element.chars <= chars and bool(NOISE_NAMES.search(named))
 
 
 def _is_article(name: str, attributes: str) -> bool:
@@ -97,38 +196,37 @@ def _is_article(name: str, attributes: str) -> bool:
     )
 
 
-def _is_closed(page: str, name: str, at: int) -> bool:
-    """Whether an element that is open at a place of the page has an end further on."""
-    ends = len(re.findall(rf"</{name}\b", page[at:], re.I))
-    return ends > len(re.findall(rf"<{name}\b", page[at:], re.I))
-
-
 def page_lines(page: str) -> list[Line]:
     """The lines of a page: the text of its block elements, in order."""
     lines: list[Line] = []
     parts: list[str] = []
-    links = 0
-    # open elements: (name, is noise, article number, own number)
-    stack: list[tuple[str, bool, int, int]] = []
-    noise, article, articles, link, elements = 0, 0, 0, 0, 0
+    found = list(tags(page))
+    elements, chars = elements_of(page, found)
+    ends = Counter(e.end for e in elements.values())
+    links, link, article, articles, numbers, block = 0, 0, 0, 0, 0, ""
+    # open elements: (element, is noise, article number, own number)
+    stack: list[tuple[Element, bool, int, int]] = []
+    noise = closed_noise = 0
 
     def close_line() -> None:
         nonlocal links
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append(Line(text, links, noise > 0, article, stack[-1][3] if stack else 0))
+            own = stack[-1][3] if stack else 0
+            lines.append(Line(text, links, noise > 0, article, own, block == "p"))
         parts.clear()
         links = 0
 
     def leave(index: int) -> None:
-        nonlocal noise, article
-        for name, was_noise, *_ in stack[index:]:
+        nonlocal noise, closed_noise, article
+        for element, was_noise, *_ in stack[index:]:
             noise -= was_noise
+            closed_noise -= was_noise and element.closed
         del stack[index:]
         article = stack[-1][2] if stack else 0
 
     at = 0
-    for tag in _TAG.finditer(page):
+    for number, tag in enumerate(found):
         if tag.start() > at:
             text = page[at : tag.start()]
             parts.append(text)
@@ -146,30 +244,28 @@ def page_lines(page: str) -> list[Line]:
             parts.append(" ")
         elif name in BLOCKS:
             close_line()
-            link = 0
-        if name in VOID or name in LOOSE and name not in ("li", "td", "p", "span"):
-            continue
-        if tag["close"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    leave(i)
-                    break
-            continue
-        attributes = tag["attrs"] or ""
-        if attributes.endswith("/") and name not in BLOCKS:
+            link, block = 0, "" if tag["close"] else name
+        if ends[number]:
+            ended = len(stack)
+            while ended and stack[ended - 1][0].end <= number:
+                ended -= 1
+            leave(ended)
+        element = elements.get(number)
+        if element is None:
             continue
-        bad = _is_noise(name, attributes)
+        bad = _is_noise(element, chars)
         if name in LOOSE and not bad:
             continue
-        starts = not bad and _is_article(name, attributes)
-        if starts and noise and not any(_is_closed(page, n, tag.start()) for n, b, *_ in stack if b):
+        starts = not bad and _is_article(name, element.attributes)
+        if starts and noise and not closed_noise:
             leave(next(i for i, s in enumerate(stack) if s[1]))  # left open by mistake
         if starts and not noise and not article:
             articles += 1
             article = articles
         noise += bad
-        elements += 1
-        stack.append((name, bad, article, elements))
+        closed_noise += bad and element.closed
+        numbers += 1
+        stack.append((element, bad, article, numbers))
     if at < len(page):
         parts.append(page[at:])
     close_line()
@@ -211,7 +307,7 @@ def _stretches(lines: list[Line], params: ExtractionParams) -> list[Line]:
     return [
         line
         for i, line in enumerate(lines)
-        if weights[i] and (not inside or i in inside or line.element in elements)
+        if (weights[i] or line.paragraph and inside) and (not inside or i in inside or line.element in elements)
     ]
 
 
