@@ -3,11 +3,12 @@
 Words are lower-cased runs of letters and digits. Of every ``span - gram + 1``
 consecutive word grams the smallest hash is a fingerprint, so any run of
 ``span`` words that a document shares with an item shares a fingerprint too.
-Fingerprints of both sides are joined, and each hit is extended over the words
-around it: runs of at least ``span`` equal words are hit. An item of fewer words is
-one window; it is looked up whole, wherever its first word occurs.
+Fingerprints of both sides are joined, and each hit is extended over the whole text:
+all its windows of ``span`` words that are windows of the item are hit. An item of fewer
+words is one window; it is looked up whole, wherever its first word occurs.
 
-Hashes only propose places; words decide. Work is keyed by the text, so copies are
+Hashes only propose pairs of text and item; words decide. There is one row for a pair,
+however often the item occurs in the text, and overlapping windows become one span. Work is keyed by the text, so copies are
 looked up once. Fingerprints of items and hits of texts are broadcast where their
 counted rows are small and shuffled otherwise; hot fingerprints stay rows that
 AQE can split, and nothing is gathered but the spans of one text.
@@ -21,6 +22,7 @@ either side; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -112,17 +114,19 @@ def _item_rows(items: DataFrame, item_id: str, text: str) -> DataFrame:
 
 
 def _seeds(docs: DataFrame, items: DataFrame, params: DecontaminationParams) -> DataFrame:
-    """Distinct (k1, k2, item_key, shift): places where an item may lie in a text."""
+    """Distinct (k1, k2, item_key): texts in which an item, or a part of it, may lie.
+
+    A fingerprint that a text or an item holds many times counts once, so a text that
+    repeats itself is not a row per place.
+    """
     width = params.span
     grams = items.withColumn("grams", _grams(F.col("words"), params))
     whole = F.array(_at(F.xxhash64("words"), F.lit(0)))
     prints = F.when(F.size("words") < width, whole).otherwise(_winnowed(F.col("grams"), params))
     item_prints = checkpointed(
-        grams.select("item_key", F.explode(prints).alias("p")).select(
-            "item_key",
-            F.shiftright("p", PLACE_BITS).alias("hash"),
-            F.col("p").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("item_place"),
-        )
+        grams.select("item_key", F.explode(prints).alias("p"))
+        .select("item_key", F.shiftright("p", PLACE_BITS).alias("hash"))
+        .distinct()
     )
     short = checkpointed(_short_items(items, params))
     texts = docs.select(*text_key(F.col("t")), words_of(F.col("t")).alias("words"))
@@ -133,27 +137,40 @@ def _seeds(docs: DataFrame, items: DataFrame, params: DecontaminationParams) ->
         F.coalesce(_winnowed(F.col("grams"), params), F.array().cast("array<bigint>")),
         _short_grams(F.col("words"), F.col("short")),
     )
-    places = texts.select("k1", "k2", F.explode(both).alias("p")).select(
-        "k1",
-        "k2",
-        F.shiftright("p", PLACE_BITS).alias("hash"),
-        F.col("p").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("place"),
-    )
-    met = places.join(broadcast_if_small(item_prints, 40), "hash")
-    return met.select("k1", "k2", "item_key", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
+    hashes = F.array_distinct(F.transform(both, lambda p: F.shiftright(p, PLACE_BITS)))
+    met = texts.select("k1", "k2", F.explode(hashes).alias("hash")).join(broadcast_if_small(item_prints, 40), "hash")
+    return met.select("k1", "k2", "item_key").distinct()
 
 
-def _spans(words: Column, item: Column, shift: Column, need: Column) -> Column:
-    """(start, end) in words of a text of the runs of ``need`` words equal to the item's."""
-    edges = F.filter(
-        F.sequence(F.lit(-1), F.size(item)),
-        lambda j: (j < 0) | (j >= F.size(item)) | ~F.get(words, j + shift).eqNullSafe(F.get(item, j)),
-    )
-    runs = F.transform(
-        _upto(F.size(edges) - 2),
-        lambda t: F.struct((F.get(edges, t) + 1 + shift).alias("start"), (F.get(edges, t + 1) + shift).alias("end")),
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _windows(words: Column, width: Column) -> Column:
+    return F.transform(_upto(F.size(words) - width), lambda i: F.array_join(F.slice(words, i + 1, width), " "))
+
+
+def _spans(words: Column, item: Column, need: Column) -> Column:
+    """(start, end) in words of a text of the runs that windows of ``need`` words of the item cover."""
+
+    def at(both: Column) -> Column:
+        """Where a window of the text is one of the item."""
+        return F.filter(
+            _upto(F.size(both["windows"]) - 1), lambda i: F.array_contains(both["shared"], F.get(both["windows"], i))
+        )
+
+    def runs(starts: Column) -> Column:
+        # windows that overlap or touch are one run
+        first = F.filter(starts, lambda p, i: (i == 0) | (p > F.get(starts, i - 1) + need))
+        last = F.filter(starts, lambda p, i: (i == F.size(starts) - 1) | (F.get(starts, i + 1) > p + need))
+        return F.zip_with(first, last, lambda a, b: F.struct(a.alias("start"), (b + need).alias("end")))
+
+    both = _bound(
+        _windows(words, need),
+        lambda windows: F.struct(windows.alias("windows"), F.array_intersect(_windows(item, need), windows).alias("shared")),
     )
-    return F.filter(runs, lambda r: r["end"] - r["start"] >= need)
+    return _bound(_bound(both, at), runs)
 
 
 def _covered(spans: Column) -> Column:
@@ -175,7 +192,7 @@ def hits(docs: DataFrame, items: DataFrame, params: DecontaminationParams) -> Da
     seeds = checkpointed(_seeds(docs, items, params))
     # the columns of the text are computed after the join, for texts with seeds only
     found = docs.select(*text_key(F.col("t")), "t").join(broadcast_if_small(seeds, 64), ["k1", "k2"])
-    found = found.select("k1", "k2", "item_key", "shift", words_of(F.col("t")).alias("words"))
+    found = found.select("k1", "k2", "item_key", words_of(F.col("t")).alias("words"))
     lengths = items.select("item_key", "item", F.col("words").alias("item_words"))
     spanned = found.join(lengths, "item_key").select(
         "k1",
@@ -185,7 +202,6 @@ def hits(docs: DataFrame, items: DataFrame, params: DecontaminationParams) -> Da
             _spans(
                 F.col("words"),
                 F.col("item_words"),
-                F.col("shift"),
                 F.least(F.lit(params.span), F.size("item_words")),
             )
         ).alias("span"),
