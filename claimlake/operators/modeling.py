@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -114,6 +117,13 @@ def fit_calibrator(grid: DataFrame, out: str) -> Model:
     return IsotonicRegression(featuresCol="point", labelCol="rate", weightCol="w", predictionCol=out).fit(grid)
 
 
+def side_by_side(fits: Sequence[Callable[[], Any]]) -> list:
+    """Results of independent fits whose jobs share the cluster."""
+    with ThreadPoolExecutor(len(fits)) as pool:
+        running = [pool.submit(inheritable_thread_target(SparkSession.active())(fit)) for fit in fits]
+        return [r.result() for r in running]
+
+
 @dataclass
 class TierScorer:
     """A fitted classifier that adds one raw score column per class."""
@@ -170,11 +180,12 @@ class RiskModel:
         if self.learner == "forest":
             forest = RandomForestClassifier(labelCol="label", **_forest_options(self.params))
             return TierScorer(self.classes, [forest.fit(train)])
-        models = []
-        for i, _ in enumerate(self.classes):
+
+        def fit_one(i: int) -> Model:
             one = train.withColumn("label", (F.col("label") == i).cast("double"))
-            models.append(GBTClassifier(labelCol="label", **_boosting_options(self.params)).fit(one))
-        return TierScorer(self.classes, models)
+            return GBTClassifier(labelCol="label", **_boosting_options(self.params)).fit(one)
+
+        return TierScorer(self.classes, side_by_side([partial(fit_one, i) for i in range(len(self.classes))]))
 
     def _fit_calibrators(self, train: DataFrame) -> list[Model]:
         """One isotonic fit per class on out-of-fold scores.
@@ -202,13 +213,14 @@ class RiskModel:
         train = indexer.transform(matrix).persist()
         try:
             self.calibrators = self._fit_calibrators(train) if calibrate else []
-            self.scorer = self._fit_scorer(train)
             options = {"labelCol": COST, "predictionCol": "predicted_cost"}
             if self.learner == "forest":
                 regressor = RandomForestRegressor(**options, **_forest_options(self.params))
             else:
                 regressor = GBTRegressor(**options, **_boosting_options(self.params))
-            self.regressor = regressor.fit(train)
+            fits = [partial(self._fit_scorer, train), partial(regressor.fit, train)]
+            # a forest's jobs are large; trees that follow one another leave room for other learners
+            self.scorer, self.regressor = [f() for f in fits] if self.learner == "forest" else side_by_side(fits)
         finally:
             train.unpersist()
         return self

@@ -335,10 +335,11 @@ SELECT snapshot, feature, value FROM (
 )
 
 -- edges: watched
-SELECT feature, list_sort(list_distinct(quantile_cont(value,
-           [0.0::DOUBLE, 0.1::DOUBLE, 0.2::DOUBLE, 0.3::DOUBLE, 0.4::DOUBLE, 0.5::DOUBLE,
-            0.6::DOUBLE, 0.7::DOUBLE, 0.8::DOUBLE, 0.9::DOUBLE, 1.0::DOUBLE]))) AS edges
-FROM watched WHERE snapshot = 'pre' GROUP BY feature
+SELECT feature, list_sort(list_distinct(list_transform(range(0, 11), lambda i:
+           v[floor((len(v) - 1) * (i / 10::DOUBLE))::BIGINT + 1]
+           + (v[ceil((len(v) - 1) * (i / 10::DOUBLE))::BIGINT + 1] - v[floor((len(v) - 1) * (i / 10::DOUBLE))::BIGINT + 1])
+             * ((len(v) - 1) * (i / 10::DOUBLE) - floor((len(v) - 1) * (i / 10::DOUBLE)))))) AS edges
+FROM (SELECT feature, list_sort(list(value)) AS v FROM watched WHERE snapshot = 'pre' AND value IS NOT NULL GROUP BY feature)
 
 -- bins: edges
 SELECT feature, bin::INTEGER AS bin, edges[bin] AS lower_edge, edges[bin + 1] AS upper_edge, bin = len(edges) - 1 AS is_last

@@ -446,10 +446,11 @@ FROM (SELECT cohort.*, sharing_rate::DOUBLE AS sharing_rate, msr::DOUBLE AS msr,
       FROM cohort, (VALUES (0.3), (0.5), (0.7)) s(sharing_rate), (VALUES (0.01), (0.02), (0.04)) m(msr))
 
 -- drift_bins: edges
-SELECT feature, (i - 1)::INTEGER AS position, round(edges[i], 4) AS edge FROM edges, unnest(range(1, len(edges) + 1)) AS t(i)
+SELECT feature, (i - 1)::INTEGER AS position, floor(edges[i] * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS edge FROM edges, unnest(range(1, len(edges) + 1)) AS t(i)
 
 -- drift_histogram: binned
-SELECT feature, bin, round(lower_edge, 4) AS lower_edge, round(upper_edge, 4) AS upper_edge, n_baseline, n_current FROM binned
+SELECT feature, bin, floor(lower_edge * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS lower_edge,
+       floor(upper_edge * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE AS upper_edge, n_baseline, n_current FROM binned
 
 -- drift_report: drift
 SELECT * FROM drift ORDER BY psi DESC, feature

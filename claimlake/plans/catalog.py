@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlake.codes import CONDITIONS, FEATURES, INTERACTIONS
@@ -557,11 +557,16 @@ def _drift_counts(lake: Lake) -> DataFrame:
     return drift.value_counts(baseline, current, drift.shared_features(baseline, current))
 
 
+def _six_decimals(column: str) -> Column:
+    """Rounded by the same two operations as in the SQL; the engines' own rounding differs at ties."""
+    return F.floor(F.col(column) * 1e6 + 0.5) / 1e6
+
+
 @query
 def drift_bins(lake: Lake) -> DataFrame:
     edges = drift.baseline_edges(_drift_counts(lake), lake.params)
     return edges.select("feature", F.posexplode("edges").alias("position", "edge")).withColumn(
-        "edge", F.round("edge", 4)
+        "edge", _six_decimals("edge")
     )
 
 
@@ -569,7 +574,7 @@ def drift_bins(lake: Lake) -> DataFrame:
 def drift_histogram(lake: Lake) -> DataFrame:
     counts = _drift_counts(lake)
     bins = drift.histogram(counts, drift.baseline_edges(counts, lake.params), lake.params)
-    return bins.withColumns({c: F.round(c, 4) for c in ("lower_edge", "upper_edge")})
+    return bins.withColumns({c: _six_decimals(c) for c in ("lower_edge", "upper_edge")})
 
 
 @query
@@ -690,6 +695,13 @@ def ml_predictions(lake: Lake) -> DataFrame:
     return _checked(modeling.RiskModel(lake.params).fit(train, calibrate=False).predict(test))
 
 
+@query
+def ml_member_predictions(lake: Lake) -> DataFrame:
+    """Predicted tier, probabilities and cost of every test member, calibrated on the training members."""
+    train, test = _split_store(lake)
+    return modeling.RiskModel(lake.params).fit(train).predict(test)
+
+
 @query
 def ml_boosted(lake: Lake) -> DataFrame:
     train, test = _split_store(lake)

@@ -16,8 +16,12 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
+#: Fitted values, which SQL cannot give; test_model_values.py holds them against what they must be.
+FITTED = {"ml_member_predictions"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) - FITTED == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
