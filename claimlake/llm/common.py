@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlake.sources import shared
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Largest table that is broadcast on request, after its size has been measured.
 BROADCAST_BYTES = 32 << 20
@@ -50,11 +52,9 @@ def text_key(text: Column) -> list[Column]:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Take the folder the session names; without one, a folder of the warehouse."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        own = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own)
+    """Take the folder the session names; a local session without one uses a folder of its warehouse."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared.shared_folder(spark))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -74,13 +74,17 @@ def in_few_tasks(df: DataFrame, rows: int, rows_per_task: int = 25_000) -> DataF
     return df.coalesce(wanted) if wanted < usual else df
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit ``limit``, else unchanged.
+def broadcast_if_small(
+    df: DataFrame, row_bytes: int, varying: Column | None = None, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``df`` with a broadcast hint if its rows fit ``limit``, else unchanged.
 
-    ``df`` should be checkpointed: it is counted here and read again by the join.
-    Beyond the limit the planner shuffles both sides, and AQE splits hot keys.
+    A row counts ``row_bytes``, and ``varying`` beside where it holds a text or a list.
+    ``df`` should be checkpointed: it is measured here and read again by the join. Beyond
+    the limit the planner shuffles both sides, and AQE splits hot keys.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    more = F.lit(0) if varying is None else F.coalesce(F.sum(varying.cast("bigint")), F.lit(0))
+    return F.broadcast(df) if df.agg((F.count(F.lit(1)) * row_bytes + more).alias("b")).first()["b"] <= limit else df
 
 
 def bit_array(places: DataFrame, words: int) -> DataFrame:

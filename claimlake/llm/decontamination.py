@@ -229,7 +229,7 @@ def judged(
     names = list(dict.fromkeys((id_column, *carry)))
     text = text_or_empty(text_column)
     counted = docs.select(*names, *text_key(text), F.size(words_of(text)).cast("bigint").alias("n_words"))
-    joined = counted.join(broadcast_if_small(found, 128), ["k1", "k2"], "left")
+    joined = counted.join(broadcast_if_small(found, 64, F.octet_length(F.array_join("item_ids", ",")) + 16 * F.size("item_ids")), ["k1", "k2"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return joined.select(
         *names,

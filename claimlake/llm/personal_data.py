@@ -236,6 +236,6 @@ def find_personal_data(
     """The id, ``base`` and ``spans`` (start, kind number, end) of every row of ``docs``."""
     found = written(scanned(docs, id_column, text_column), "personal-data")
     extra = checkpointed(discovered(docs, found, params, text_column))
-    joined = found.join(broadcast_if_small(extra, 256), ["k1", "k2"], "left")
+    joined = found.join(broadcast_if_small(extra, 64, 32 * F.size("extra")), ["k1", "k2"], "left")
     spans = F.array_sort(F.concat("base", F.coalesce("extra", F.slice("base", 1, 0))))
     return joined.select(F.col("id").alias(id_column), "base", spans.alias("spans"))
