@@ -86,10 +86,10 @@ def co_occurrence(mapped: DataFrame, key: str = "bene_id", items: str = "hcc_lis
     """
     sets = mapped.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(items)))).alias("items"))
     singles = sets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    members = sets.agg(F.count(F.lit(1)).alias("n_members"))
-    kept = singles.crossJoin(F.broadcast(members)).filter(F.col("n") >= min_support * F.col("n_members"))  # one row
-    frequent = kept.agg(F.array_sort(F.collect_list("item")).alias("frequent"))
-    pruned = sets.crossJoin(F.broadcast(frequent)).select(  # one row, of the length of the category list
+    members = sets.agg(F.count(F.lit(1)))
+    kept = singles.withColumn("n_members", members.scalar()).filter(F.col("n") >= min_support * F.col("n_members"))
+    frequent = kept.agg(F.array_sort(F.collect_list("item")))  # no longer than the category list
+    pruned = sets.withColumn("frequent", frequent.scalar()).select(
         F.filter("items", lambda i: F.array_contains("frequent", i)).alias("items")
     )
     pairs = F.flatten(

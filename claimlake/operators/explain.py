@@ -148,8 +148,8 @@ def permutation_importance(
         {f: F.when(F.col("feature") == f, F.col("value")).otherwise(F.col(f).cast("double")) for f in features}
     )
     right = F.avg(hit.cast("int"))
-    base = predict(matrix).agg(right.alias("score"))
+    base = predict(matrix).agg(right)
     judged = predict(rows.drop("value")).groupBy("feature").agg(right.alias("permuted_score"))
-    return judged.crossJoin(F.broadcast(base)).select(  # one row
+    return judged.withColumn("score", base.scalar()).select(
         "feature", "score", "permuted_score", (F.col("score") - F.col("permuted_score")).alias("importance")
     )
