@@ -16,7 +16,7 @@ from claimlake.llm import quality
 
 def test_one_query_per_operator():
     names = entry.queries()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
     assert "pipeline" in names
 
