@@ -1,19 +1,29 @@
 """Personal data in texts: fixed kinds first, then what their contexts reveal.
 
 Base identifiers (email, ip, card, phone) are found by regular expressions and
-checked. They seed a bootstrap: the two words before an identifier are a pattern,
-and patterns and the identifier-like strings behind them form a graph. In each round
-the confidence of a pattern for a kind is the weight of its known instances over all
-places of the corpus where its two words occur; an unknown instance then scores as
-the best pattern before it. Instances behind patterns that reach ``min_confidence``,
-with ``min_support`` distinct instances, are reported with the kind of the pattern.
-
-Everything is DataFrame expressions. Positions come from the lengths of matches
-and of the gaps between them. The regular expressions are written without
-backtracking, so runs of any length take linear time. Counts combine in the map
-tasks before they are shuffled; patterns and found spans are broadcast only if their
-counted rows are small. The corpus is read twice, whole: once for spans, once to
-count the patterns.
+checked. They seed a bootstrap: the two tokens before an identifier are a pattern, a
+token being a word or a single character that is neither part of a word nor white
+space, so that ``me at``, ``tel:`` and ``mail <`` are patterns alike. Patterns and the
+identifier-like strings behind them form a graph. In each round the confidence of a
+pattern for a kind is the weight of its known instances over all places of the corpus
+where its two tokens occur; an unknown instance behind a pattern that reaches
+``min_confidence``, with ``min_support`` distinct instances, is learnt with the kind
+and the confidence of its best pattern. Rounds go on until nothing new is learnt;
+learnt instances keep their scores, so there are at most as many rounds as links in
+the longest chain. Learnt instances behind confident patterns are reported.
+
+Identifier-like is a run of words and joining signs, or of short groups of digits
+with single spaces, that holds an ``@`` or five digits, whatever its length. It starts
+at most ``LEADING_PARTS`` letter-only parts before its first digit or ``@``; what is
+before is context. An identifier glued to a word has no context.
+
+Everything is DataFrame expressions. Positions are running sums of the lengths of
+gaps and matches, in blocks, and contexts come from the gaps, so that a text costs
+time in proportion to its length, however many matches it has. The regular
+expressions are written without backtracking, so runs of any length take linear time.
+Counts combine in the map tasks before they are shuffled; found spans are broadcast
+only if their counted rows are small. The corpus is read twice, whole: once for
+spans, once to count the patterns.
 
 A null text is empty and has no spans. Null ids are carried, repeated rows each
 get their row and count in the statistics like any other. Of overlapping matches
@@ -23,7 +33,9 @@ empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,41 +53,106 @@ PATTERNS = {
 }
 #: A character without which a kind cannot occur.
 NEEDED = {"email": "@", "ip": ".", "phone": "+"}
+_WORD, _JOIN = r"[\p{L}\p{N}]", r"[@._%+/#()-]"
+#: Parts without a digit with which an identifier-like string may start.
+LEADING_PARTS = 8
 #: Strings that may be identifiers of a form the kinds do not have.
-CANDIDATE = r"(?<![A-Za-z0-9@])[A-Za-z0-9(][A-Za-z0-9@._%+/#()-]{4,62}[A-Za-z0-9](?![A-Za-z0-9@])"
+CANDIDATE = (
+    rf"(?<![\p{{L}}\p{{N}}@])(?:\(?[0-9]{{2,4}}+\)?+(?:[\x20.-][0-9]{{2,4}}+(?!{_WORD})){{2,}}+"
+    rf"|\(?(?=(?:\p{{L}}++[._%+/#()-]++){{0,{LEADING_PARTS}}}+\p{{L}}*+[0-9@])"
+    rf"{_WORD}++(?:(?:\)\x20(?=[0-9])|{_JOIN}++){_WORD}++)*+)"
+)
+#: Tokens of a context.
+TOKEN = rf"{_WORD}++|[^\p{{L}}\p{{N}}\s]"
+#: The last two tokens of a text that is read backwards and does not start inside a word.
+LAST_TOKENS = rf"^(?!{_WORD})\s*+((?:{TOKEN})\s*+(?:{TOKEN}))"
 SPAN = "struct<start:int,kind:int,end:int>"
-#: Bits of the fixed-size map of patterns that pairs of words are tried on before they are counted.
-MAP_BITS = 1 << 20
-#: Characters before an identifier in which its two context words must lie.
-CONTEXT_CHARS = 64
+MENTION = "struct<start:int,kind:int,end:int,instance:string,pattern:bigint>"
+#: Least and most bits of the map of patterns that pairs of tokens are tried on before they are counted.
+MAP_BITS, MOST_MAP_BITS = 1 << 20, 1 << 26
+#: Values that a running sum copies at once.
+BLOCK = 256
 
 
 @dataclass(frozen=True)
 class BootstrapParams:
     min_support: int = 3
     min_confidence: float = 0.5
-    rounds: int = 3
-
-
-def _found(text: Column, pattern: str) -> Column:
-    """(start, end, match) of every match, in code points."""
-    gaps, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
-    empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-
-    def step(done: Column, pair: Column) -> Column:
-        start = done["at"] + F.char_length(pair["gap"])
-        end = start + F.char_length(pair["match"])
-        return F.struct(
-            end.alias("at"),
-            F.concat(done["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match")))).alias(
-                "out"
-            ),
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once though lambdas in ``body`` use it often."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column], first: int) -> Column:
+    """All partial results of combining an array of ints from the left, in blocks."""
+
+    def last(block: Column) -> Column:
+        return F.coalesce(F.get(block, F.size(block) - 1), F.lit(first))
+
+    def within(block: Column) -> Column:
+        none = F.array().cast("array<int>")
+        return F.aggregate(block, none, lambda done, v: F.concat(done, F.array(combine(last(done), v))))
+
+    def joined(blocks: Column) -> Column:
+        def carried(totals: Column) -> Column:
+            return F.transform(blocks, lambda block, i: F.transform(block, lambda v: combine(F.get(totals, i), v)))
+
+        return F.flatten(_let(F.concat(F.array(F.lit(first)), within(F.transform(blocks, last))), carried))
+
+    def in_blocks(all_values: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(all_values), F.lit(1)), F.lit(BLOCK))
+        return F.transform(starts, lambda at: within(F.slice(all_values, at, F.lit(BLOCK))))
+
+    return _let(values, lambda v: _let(in_blocks(v), joined))
+
+
+def _pattern(before: Column) -> Column:
+    """The pattern that a text ends with: a key of its last two tokens, or null."""
+    tail = F.lower(F.reverse(F.regexp_extract(F.reverse(before), LAST_TOKENS, 1)))
+    return _let(
+        F.regexp_extract_all(tail, F.lit(TOKEN), F.lit(0)),
+        lambda t: F.when(F.size(t) >= 2, F.xxhash64(F.get(t, F.size(t) - 2), F.get(t, F.size(t) - 1))),
+    )
+
+
+def _found(text: Column, pattern: str, kind: Column, keep: Callable[[Column], Column]) -> Column:
+    """Every match that ``keep`` takes, with its place in code points, instance and pattern."""
+
+    def described(pieces: Column, ends: Column) -> Column:
+        gaps, matches = pieces["gaps"], pieces["matches"]
+
+        def piece(array: Column, i: Column) -> Column:
+            return F.coalesce(F.get(array, i), F.lit(""))
+
+        def mention(m: Column) -> Column:
+            i, match = m["i"], m["match"]
+            # two matches hold two tokens at least
+            before = F.concat(piece(matches, i - 2), piece(gaps, i - 1), piece(matches, i - 1), piece(gaps, i))
+            return F.struct(
+                (m["end"] - F.char_length(match)).alias("start"),
+                kind.cast("int").alias("kind"),
+                m["end"].alias("end"),
+                _instance(match).alias("instance"),
+                _pattern(before).alias("pattern"),
+            )
+
+        numbered = F.transform(
+            matches, lambda m, i: F.struct(F.get(ends, i).alias("end"), m.alias("match"), i.alias("i"))
         )
+        return F.transform(F.filter(numbered, lambda m: keep(m["match"])), mention)
 
-    pairs = F.filter(pairs, lambda p: p["match"].isNotNull())  # the last gap has none
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
-    return F.when(F.rlike(text, F.lit(pattern)), found).otherwise(empty)
+    def placed(pieces: Column) -> Column:
+        lengths = F.transform(
+            pieces["matches"], lambda m, i: F.char_length(F.get(pieces["gaps"], i)) + F.char_length(m)
+        )
+        return _let(_running(lengths, Column.__add__, 0), lambda ends: described(pieces, ends))
+
+    pieces = F.struct(
+        F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches")
+    )
+    return F.when(F.rlike(text, F.lit(pattern)), _let(pieces, placed)).otherwise(F.array().cast(f"array<{MENTION}>"))
 
 
 def _digits(match: Column) -> Column:
@@ -100,85 +177,86 @@ def _valid(kind: str, match: Column) -> Column:
     return F.char_length(digits).between(9, 15) if kind == "phone" else F.lit(True)
 
 
-def _base_kind(text: Column, number: int, kind: str) -> Column:
-    found = F.filter(_found(text, PATTERNS[kind]), lambda m: _valid(kind, m["match"]))
-    spans = F.transform(
-        found, lambda m: F.struct(m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"))
-    )
-    if kind not in NEEDED:
-        return spans
-    return F.when(F.contains(text, F.lit(NEEDED[kind])), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+def _seeds(text: Column) -> Column:
+    """Checked identifiers of all kinds, by start, then kind."""
+    found = []
+    for number, kind in enumerate(KINDS):
+        spans = _found(text, PATTERNS[kind], F.lit(number), partial(_valid, kind))
+        if kind in NEEDED:
+            spans = F.when(F.contains(text, F.lit(NEEDED[kind])), spans).otherwise(F.array().cast(f"array<{MENTION}>"))
+        found.append(spans)
+    return F.sort_array(F.concat(*found))
 
 
-def _base(text: Column) -> Column:
-    """Checked spans of all kinds, by start, then kind."""
-    return F.array_sort(F.concat(*[_base_kind(text, number, kind) for number, kind in enumerate(KINDS)]))
+def _candidates(text: Column) -> Column:
+    """Identifier-like strings, by start; their kind is null."""
 
+    def like(match: Column) -> Column:
+        return F.contains(match, F.lit("@")) | (F.char_length(_digits(match)) >= 5)
 
-def _context(text: Column, start: Column) -> Column:
-    """The two words before a place, lower-cased, or null."""
-    before = F.substring(text, F.greatest(F.lit(1), start - CONTEXT_CHARS + 1), F.least(start, F.lit(CONTEXT_CHARS)))
-    words = F.filter(F.split(F.lower(before), r"\s+"), lambda w: w != "")
-    # a word that the window may have cut does not count
-    whole = F.when(start > CONTEXT_CHARS, F.size(words) - 1).otherwise(F.size(words))
-    return F.when(whole >= 2, F.concat_ws(" ", F.get(words, F.size(words) - 2), F.get(words, F.size(words) - 1)))
+    return _found(text, CANDIDATE, F.lit(None), like)
 
 
-def _instance(match: Column) -> Column:
-    return F.regexp_replace(F.lower(match), "[^a-z0-9@.]", "")
+def _apart(candidates: Column, seeds: Column) -> Column:
+    """The candidates that overlap no seed; one pass over both in order of their starts."""
 
+    far = 2**31 - 1
 
-def _mentions(text: Column, base: Column) -> Column:
-    """Base identifiers and identifier-like strings with their contexts; kind is null for the latter."""
+    def item(is_seed: bool) -> Callable[[Column], Column]:
+        return lambda m: F.struct(m["start"].alias("start"), F.lit(not is_seed).alias("candidate"), m.alias("m"))
 
-    def described(start: Column, end: Column, kind: Column) -> Column:
-        match = F.substring(text, start + 1, end - start)
-        return F.struct(
-            start.alias("start"),
-            kind.cast("int").alias("kind"),
-            end.alias("end"),
-            _instance(match).alias("instance"),
-            _context(text, start).alias("pattern"),
+    def unmet(items: Column, ends: Column, nexts: Column) -> Column:
+        met = F.transform(
+            items,
+            lambda x, i: F.when(
+                x["candidate"] & (F.get(ends, i) <= x["start"]) & (F.get(nexts, i) >= x["m"]["end"]), x["m"]
+            ),
         )
+        return F.filter(met, lambda m: m.isNotNull())
 
-    seeds = F.transform(base, lambda s: described(s["start"], s["end"], s["kind"]))
-    like = F.filter(
-        _found(text, CANDIDATE),
-        lambda m: (F.contains(m["match"], F.lit("@")) | (F.char_length(_digits(m["match"])) >= 5))
-        & ~F.exists(base, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])),
-    )
-    others = F.transform(like, lambda m: described(m["start"], m["end"], F.lit(None)))
-    others = F.when(F.rlike(text, F.lit("[0-9@]")), others)
-    return F.filter(
-        F.concat(seeds, F.coalesce(others, F.slice(seeds, 1, 0))), lambda m: m["pattern"].isNotNull()
-    )
+    def one_pass(items: Column) -> Column:
+        ends = F.transform(items, lambda x: F.when(x["candidate"], 0).otherwise(x["m"]["end"]))
+        starts = F.transform(items, lambda x: F.when(x["candidate"], far).otherwise(x["start"]))
+        nexts = F.reverse(_running(F.reverse(starts), F.least, far))
+        return _let(_running(ends, F.greatest, 0), lambda e: _let(nexts, lambda n: unmet(items, e, n)))
+
+    both = F.sort_array(F.concat(F.transform(seeds, item(True)), F.transform(candidates, item(False))))
+    nothing_meets = (F.size(seeds) == 0) | (F.size(candidates) == 0)
+    return F.when(nothing_meets, candidates).otherwise(_let(both, one_pass))
+
+
+def _instance(match: Column) -> Column:
+    return F.regexp_replace(F.lower(match), r"[^\p{L}\p{N}@.]", "")
 
 
 def scanned(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Per row: id, text key, base spans, and mentions with contexts."""
+    """Per row: id, text key, base spans, and mentions with patterns."""
     source = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("t"))
-    based = source.select("id", *text_key(F.col("t")), "t", _base(F.col("t")).alias("base"))
-    return based.select("id", "k1", "k2", "base", _mentions(F.col("t"), F.col("base")).alias("mentions"))
+    found = source.select(
+        "id", *text_key(F.col("t")), _seeds(F.col("t")).alias("seeds"), _candidates(F.col("t")).alias("candidates")
+    )
+    base = F.transform("seeds", lambda s: F.struct(s["start"], s["kind"], s["end"]))
+    mentions = F.concat("seeds", _apart(F.col("candidates"), F.col("seeds")))
+    return found.select(
+        "id", "k1", "k2", base.alias("base"), F.filter(mentions, lambda m: m["pattern"].isNotNull()).alias("mentions")
+    )
 
 
 def pattern_counts(docs: DataFrame, patterns: DataFrame, text_column: str) -> DataFrame:
-    """(pattern, n_places): how often the two words of each pattern occur in all texts."""
-    words = docs.select(
-        F.filter(F.split(F.lower(text_or_empty(text_column)), r"\s+"), lambda w: w != "").alias("words")
+    """(pattern, n_places): how often the two tokens of each pattern follow one another in all texts."""
+    tokens = docs.select(
+        F.regexp_extract_all(F.lower(text_or_empty(text_column)), F.lit(TOKEN), F.lit(0)).alias("tokens")
     )
     pairs = F.transform(
-        F.when(F.size("words") > 1, F.sequence(F.lit(0), F.size("words") - 2)),
-        lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1)),
-    )
-    keyed = patterns.select(
-        "pattern", F.xxhash64(F.split("pattern", " ")[0], F.split("pattern", " ")[1]).alias("pair")
+        F.when(F.size("tokens") > 1, F.sequence(F.lit(0), F.size("tokens") - 2)),
+        lambda i: F.xxhash64(F.get("tokens", i), F.get("tokens", i + 1)),
     )
-    place = F.pmod("pair", F.lit(MAP_BITS).cast("bigint"))
-    bits = checkpointed(bit_array(keyed.select(place.alias("p")), MAP_BITS // 64)).scalar()
+    n_bits = min(max(MAP_BITS, 1 << (16 * patterns.count()).bit_length()), MOST_MAP_BITS)
+    place = F.pmod("pattern", F.lit(n_bits).cast("bigint"))
+    bits = checkpointed(bit_array(patterns.select(place.alias("p")), n_bits // 64)).scalar()
     # the map of patterns lets few other pairs through, so little is counted and shuffled for nothing
-    places = words.select(F.explode(pairs).alias("pair")).where(bit_is_set(bits, place))
-    counts = places.groupBy("pair").agg(F.count(F.lit(1)).alias("n_places"))
-    return counts.join(keyed, "pair").select("pattern", "n_places")
+    places = tokens.select(F.explode(pairs).alias("pattern")).where(bit_is_set(bits, place))
+    return places.groupBy("pattern").agg(F.count(F.lit(1)).alias("n_places")).join(patterns, "pattern")
 
 
 def discovered(docs: DataFrame, found: DataFrame, params: BootstrapParams, text_column: str) -> DataFrame:
@@ -189,25 +267,28 @@ def discovered(docs: DataFrame, found: DataFrame, params: BootstrapParams, text_
     patterns = checkpointed(support.where(F.col("support") >= params.min_support).select("pattern"))
     counted = checkpointed(pattern_counts(docs, patterns, text_column))
     edges = checkpointed(edges.join(counted, "pattern"))
-    known = edges.where("kind IS NOT NULL").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
-    unknown, scores = edges.where("kind IS NULL").drop("kind"), known
-    confident = None
-    for _ in range(params.rounds):
+    scores = checkpointed(
+        edges.where("kind IS NOT NULL").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
+    )
+    unknown = edges.where("kind IS NULL").drop("kind")
+    while True:
         weights = edges.drop("kind").join(scores, "instance").groupBy("pattern", "kind", "n_places")
+        share = F.least(F.lit(1.0), F.sum(F.col("n") * F.col("score")) / F.col("n_places"))
         confident = checkpointed(
-            weights.agg(F.round(F.sum(F.col("n") * F.col("score")) / F.col("n_places"), 6).alias("confidence")).where(
-                F.col("confidence") >= params.min_confidence
-            )
+            weights.agg(F.round(share, 6).alias("confidence")).where(F.col("confidence") >= params.min_confidence)
         )
         best = (
-            unknown.join(confident, ["pattern", "n_places"])
+            unknown.join(scores, "instance", "left_anti")
+            .join(confident, ["pattern", "n_places"])
             .groupBy("instance")
             .agg(F.max(F.struct("confidence", (-F.col("kind")).alias("first_kind"))).alias("best"))
         )
-        learnt = best.join(known, "instance", "left_anti").select(
-            "instance", (-F.col("best.first_kind")).alias("kind"), F.col("best.confidence").alias("score")
+        learnt = checkpointed(
+            best.select("instance", (-F.col("best.first_kind")).alias("kind"), F.col("best.confidence").alias("score"))
         )
-        scores = checkpointed(known.unionByName(learnt))
+        if learnt.isEmpty():
+            break
+        scores = checkpointed(scores.unionByName(learnt))
     kinds = scores.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
     kinds = kinds.select("instance", (-F.col("best.k")).alias("kind"))
     behind = mentions.where("kind IS NULL").drop("kind").join(confident.select("pattern", "kind"), "pattern")
@@ -237,5 +318,5 @@ def find_personal_data(
     found = written(scanned(docs, id_column, text_column), "personal-data")
     extra = checkpointed(discovered(docs, found, params, text_column))
     joined = found.join(broadcast_if_small(extra, 64, 32 * F.size("extra")), ["k1", "k2"], "left")
-    spans = F.array_sort(F.concat("base", F.coalesce("extra", F.slice("base", 1, 0))))
+    spans = F.sort_array(F.concat("base", F.coalesce("extra", F.slice("base", 1, 0))))
     return joined.select(F.col("id").alias(id_column), "base", spans.alias("spans"))
