@@ -62,8 +62,11 @@ CANDIDATE = (
     rf"|\(?(?=(?:\p{{L}}++[._%+/#()-]++){{0,{LEADING_PARTS}}}+\p{{L}}*+[0-9@])"
     rf"{_WORD}++(?:(?:\)\x20(?=[0-9])|{_JOIN}++){_WORD}++)*+)"
 )
+#: What every text with such a string contains: an ``@``, five digits in a row or two groups of digits in one run.
+CANDIDATE_NEEDS = r"[0-9@](?:(?<=@)|[0-9]{4}|[^\s0-9]++[0-9]|[^\s0-9]*+\x20\(?[0-9])"
 #: Tokens of a context.
 TOKEN = rf"{_WORD}++|[^\p{{L}}\p{{N}}\s]"
+SIGN, WHITE = r"([^a-z0-9\s\p{L}\p{N}])", r"[ \t\n\x0B\f\r]+"
 #: The last two tokens of a text that is read backwards and does not start inside a word.
 LAST_TOKENS = rf"^(?!{_WORD})\s*+((?:{TOKEN})\s*+(?:{TOKEN}))"
 SPAN = "struct<start:int,kind:int,end:int>"
@@ -108,11 +111,18 @@ def _running(values: Column, combine: Callable[[Column, Column], Column], first:
     return _let(values, lambda v: _let(in_blocks(v), joined))
 
 
+def _tokens(text: Column) -> Column:
+    """The lower-cased words and single other characters of a text, in order."""
+    # setting signs apart and splitting takes less than half the time of extracting every token
+    apart = F.regexp_replace(F.lower(text), SIGN, " $1 ")
+    return F.filter(F.split(apart, WHITE), lambda w: w != "")
+
+
 def _pattern(before: Column) -> Column:
     """The pattern that a text ends with: a key of its last two tokens, or null."""
-    tail = F.lower(F.reverse(F.regexp_extract(F.reverse(before), LAST_TOKENS, 1)))
+    tail = F.reverse(F.regexp_extract(F.reverse(before), LAST_TOKENS, 1))
     return _let(
-        F.regexp_extract_all(tail, F.lit(TOKEN), F.lit(0)),
+        _tokens(tail),
         lambda t: F.when(F.size(t) >= 2, F.xxhash64(F.get(t, F.size(t) - 2), F.get(t, F.size(t) - 1))),
     )
 
@@ -194,7 +204,8 @@ def _candidates(text: Column) -> Column:
     def like(match: Column) -> Column:
         return F.contains(match, F.lit("@")) | (F.char_length(_digits(match)) >= 5)
 
-    return _found(text, CANDIDATE, F.lit(None), like)
+    found = _found(text, CANDIDATE, F.lit(None), like)
+    return F.when(F.rlike(text, F.lit(CANDIDATE_NEEDS)), found).otherwise(F.array().cast(f"array<{MENTION}>"))
 
 
 def _apart(candidates: Column, seeds: Column) -> Column:
@@ -244,9 +255,7 @@ def scanned(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def pattern_counts(docs: DataFrame, patterns: DataFrame, text_column: str) -> DataFrame:
     """(pattern, n_places): how often the two tokens of each pattern follow one another in all texts."""
-    tokens = docs.select(
-        F.regexp_extract_all(F.lower(text_or_empty(text_column)), F.lit(TOKEN), F.lit(0)).alias("tokens")
-    )
+    tokens = docs.select(_tokens(text_or_empty(text_column)).alias("tokens"))
     pairs = F.transform(
         F.when(F.size("tokens") > 1, F.sequence(F.lit(0), F.size("tokens") - 2)),
         lambda i: F.xxhash64(F.get("tokens", i), F.get("tokens", i + 1)),
