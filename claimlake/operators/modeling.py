@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial, reduce
+from math import ceil
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -20,9 +21,12 @@ from pyspark.sql import functions as F
 from claimlake.codes import FEATURES, LEAK_FREE_FEATURES
 from claimlake.operators import explain
 from claimlake.params import Params
+from claimlake.sources.shared import kept as kept_rows
 from claimlake.sources.shared import new_path
 
 LABEL, COST, KEY = "risk_tier", "estimated_annual_cost", "bene_id"
+#: Training rows that a task holds before there are more tasks than cores.
+ROWS_PER_TASK = 1 << 18
 
 
 def require_features(df: DataFrame, features: Sequence[str]) -> None:
@@ -117,6 +121,19 @@ def fit_calibrator(grid: DataFrame, out: str) -> Model:
     return IsotonicRegression(featuresCol="point", labelCol="rate", weightCol="w", predictionCol=out).fit(grid)
 
 
+def laid_out(rows: DataFrame) -> DataFrame:
+    """Training rows in about as many partitions as there are cores, each in key order.
+
+    Every task of a tree level fills and shuffles statistics for all open nodes of all
+    trees, whatever its rows: what a level moves grows with the tasks, which follow the
+    number of rows here and not the number of shuffle partitions. ``rows`` is read twice.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    rounds = max(1, ceil(rows.count() / (cores * ROWS_PER_TASK)))
+    order = [c for c in (KEY, LABEL, COST) if c in rows.columns]
+    return rows.repartition(cores * rounds, *order).sortWithinPartitions(*order)
+
+
 def side_by_side(fits: Sequence[Callable[[], Any]]) -> list:
     """Results of independent fits whose jobs share the cluster."""
     with ThreadPoolExecutor(len(fits)) as pool:
@@ -198,7 +215,8 @@ class RiskModel:
             self._fit_scorer(train.filter(fold != i)).transform(train.filter(fold == i))
             for i in range(folds)
         ]
-        scored = reduce(DataFrame.unionByName, parts)
+        columns = ["label", *[f"score_{c}" for c in self.classes]]
+        scored = kept_rows(reduce(DataFrame.unionByName, parts).select(*columns), "scored")
         return [
             fit_calibrator(
                 calibration_grid(scored, f"score_{c}", F.col("label") == i, self.params), f"calibrated_{c}"
@@ -207,10 +225,14 @@ class RiskModel:
         ]
 
     def fit(self, store: DataFrame, calibrate: bool = True) -> RiskModel:
-        matrix = self._assemble(store)
-        indexer = StringIndexer(inputCol=LABEL, outputCol="label", stringOrderType="alphabetAsc").fit(matrix)
-        self.classes = list(indexer.labels)
-        train = indexer.transform(matrix).persist()
+        matrix = self._assemble(store).persist()
+        try:
+            indexer = StringIndexer(inputCol=LABEL, outputCol="label", stringOrderType="alphabetAsc").fit(matrix)
+            self.classes = list(indexer.labels)
+            train = laid_out(indexer.transform(matrix)).persist()
+            train.count()
+        finally:
+            matrix.unpersist()
         try:
             self.calibrators = self._fit_calibrators(train) if calibrate else []
             options = {"labelCol": COST, "predictionCol": "predicted_cost"}
