@@ -109,11 +109,13 @@ def _boosting_options(params: Params) -> dict:
 def calibration_grid(scored: DataFrame, score: str, hit: Column, params: Params) -> DataFrame:
     """Rate of hits and weight per score, with scores on ``calibration_digits`` decimals.
 
-    The grid bounds what the isotonic fit holds, whatever the number of members.
+    The grid bounds what the isotonic fit holds, whatever the number of members. It is
+    kept, since the fit reads its input several times.
     """
-    return scored.groupBy(F.round(score, params.calibration_digits).alias("point")).agg(
+    grid = scored.groupBy(F.round(score, params.calibration_digits).alias("point")).agg(
         F.avg(hit.cast("double")).alias("rate"), F.count(F.lit(1)).cast("double").alias("w")
     )
+    return kept_rows(grid, "grid")
 
 
 def fit_calibrator(grid: DataFrame, out: str) -> Model:
