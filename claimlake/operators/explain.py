@@ -8,7 +8,7 @@ from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimlake.sources.shared import new_path
+from claimlake.sources.shared import kept, new_path
 
 #: Name under which the score of no features at all is listed.
 BIAS = "(bias)"
@@ -142,7 +142,9 @@ def permutation_importance(
 
     ``predict`` adds predictions to rows and keeps their columns; ``hit`` says whether one is
     right. Every feature is judged in the same pass, on rows in which it alone is exchanged.
+    The matrix is kept, since it is read three times.
     """
+    matrix = kept(matrix, "matrix")
     swapped = exchanged(matrix, features, key, digits)
     rows = matrix.join(swapped, key).withColumns(
         {f: F.when(F.col("feature") == f, F.col("value")).otherwise(F.col(f).cast("double")) for f in features}
