@@ -5,21 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial, reduce
+from functools import reduce
 from math import ceil
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlake.codes import FEATURES, LEAK_FREE_FEATURES
-from claimlake.operators import explain
+from claimlake.operators import explain, trees
 from claimlake.params import Params
 from claimlake.sources.shared import kept as kept_rows
 from claimlake.sources.shared import new_path
@@ -91,7 +91,6 @@ def _forest_options(params: Params) -> dict:
         "subsamplingRate": params.row_share,
         "featureSubsetStrategy": str(params.column_share),
         "seed": params.seed,
-        "maxMemoryInMB": 1024,
     }
 
 
@@ -197,14 +196,13 @@ class RiskModel:
 
     def _fit_scorer(self, train: DataFrame) -> TierScorer:
         if self.learner == "forest":
-            forest = RandomForestClassifier(labelCol="label", **_forest_options(self.params))
+            forest = trees.ForestClassifier(labelCol="label", **_forest_options(self.params))
             return TierScorer(self.classes, [forest.fit(train)])
+        return TierScorer(self.classes, trees.boosted(train, self._class_learners()))
 
-        def fit_one(i: int) -> Model:
-            one = train.withColumn("label", (F.col("label") == i).cast("double"))
-            return GBTClassifier(labelCol="label", **_boosting_options(self.params)).fit(one)
-
-        return TierScorer(self.classes, side_by_side([partial(fit_one, i) for i in range(len(self.classes))]))
+    def _class_learners(self) -> list[tuple[GBTClassifier, Column]]:
+        learner = GBTClassifier(labelCol="label", **_boosting_options(self.params))
+        return [(learner.copy(), F.col("label") == i) for i in range(len(self.classes))]
 
     def _fit_calibrators(self, train: DataFrame) -> list[Model]:
         """One isotonic fit per class on out-of-fold scores.
@@ -239,12 +237,12 @@ class RiskModel:
             self.calibrators = self._fit_calibrators(train) if calibrate else []
             options = {"labelCol": COST, "predictionCol": "predicted_cost"}
             if self.learner == "forest":
-                regressor = RandomForestRegressor(**options, **_forest_options(self.params))
+                self.scorer = self._fit_scorer(train)
+                self.regressor = trees.ForestRegressor(**options, **_forest_options(self.params)).fit(train)
             else:
-                regressor = GBTRegressor(**options, **_boosting_options(self.params))
-            fits = [partial(self._fit_scorer, train), partial(regressor.fit, train)]
-            # a forest's jobs are large; trees that follow one another leave room for other learners
-            self.scorer, self.regressor = [f() for f in fits] if self.learner == "forest" else side_by_side(fits)
+                cost = GBTRegressor(**options, **_boosting_options(self.params))
+                *scorers, self.regressor = trees.boosted(train, [*self._class_learners(), (cost, F.col(COST))])
+                self.scorer = TierScorer(self.classes, scorers)
         finally:
             train.unpersist()
         return self
